@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam, quality, wordbpe
+from quire.llm import decontam, quality, tokenbin, warc, wordbpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_files": tokenbin.query,
     "op2_word_bpe": wordbpe.query,
     "op3_quality_bands": quality.query,
+    "op5_warc": warc.query,
     "op6_decontamination": decontam.query,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op5_warc": warc.SQL}
