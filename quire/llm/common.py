@@ -144,3 +144,20 @@ def shard_number(key: Column, ranges: list[tuple[int, int]]) -> Column:
     firsts = ",".join(f"{a}L" for a, _ in ranges)
     lows = F.expr(f"array({firsts})") if len(ranges) < 200 else F.from_json(F.lit("[" + ",".join(str(a) for a, _ in ranges) + "]"), "array<bigint>")
     return F.greatest(F.size(F.filter(lows, lambda a: a <= key)) - 1, F.lit(0))
+
+
+#: Names of the columns that with_row_id() adds.
+ROW_ID = ("_row_file", "_row_number")
+
+
+def with_row_id(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """df as a Parquet scan with a lasting identity for each row: its file and number in it.
+
+    A frame that isn't a plain scan is written to the shared folder first; its paths to drop are returned.
+    """
+    ident = [F.col("_metadata.file_path").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1])]
+    try:
+        return df.select("*", *ident), []
+    except Exception:  # no scan below: the analyzer knows no _metadata
+        kept, path = stage(df, "rows")
+        return kept.select("*", *ident), [path]

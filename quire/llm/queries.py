@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam, quality, tokenbin, warc, wordbpe
+from quire.llm import decontam, quality, simhash, tokenbin, warc, wordbpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": tokenbin.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_bands": quality.query,
     "op5_warc": warc.query,
     "op6_decontamination": decontam.query,
+    "op9_simhash": simhash.query,
 }
 
 SQL: dict[str, str] = {"op5_warc": warc.SQL}
