@@ -1,29 +1,51 @@
-"""The training-data pipeline: quality bands, SimHash near-dedup, decontamination, PII, BPE."""
+"""The training-data pipeline: quality bands, SimHash near-dedup, decontamination, PII, BPE.
+
+Each stage takes (spark, docs, sf_dir) and gives a frame that is written as Parquet and read again as the next one's docs.
+All but the last return the columns of docs as they were.  Nulls: a null text fails the quality rules and goes with stage one; a null id
+stays; repeated rows are one group of copies, of which one row stays.  An empty table passes through as an empty one.
+"""
 
 from __future__ import annotations
 
-from quire.llm import decontam, quality
-from quire.llm.common import table
+from pyspark.sql import DataFrame, SparkSession
+
+from quire.llm import decontam, pii, quality, simhash, wordbpe
+from quire.llm.common import stage, table
 
 
-def rules(spark, docs, sf_dir):
-    """Operator 3: documents that the rules reject go."""
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: documents that the base rules or the compression bands reject go."""
     return quality.kept(docs)
 
 
-def decontaminate(spark, docs, sf_dir):
-    """Operator 6: documents with windows of two or more benchmark items go."""
-    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: one document of each group stays, that of smallest id."""
+    return simhash.one_each(docs)
 
 
-STAGES = [("quality", rules), ("decontamination", decontaminate)]
-ORACLE_SQL = None
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents in which windows of a benchmark item occur go."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"), least_items=1)
+
+
+def sanitize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: personal data becomes labels, and terms that disclose it are removed."""
+    return pii.sanitize(docs)
 
 
-def run(spark, sf_dir):
-    from quire.llm.common import stage
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: ids of each document."""
+    return wordbpe.encode(docs)
+
+
+STAGES = [("quality", rules), ("near_dedup", near_dedup), ("decontamination", decontaminate), ("pii", sanitize), ("bpe", tokens)]
+#: SQL has no zstandard, fingerprints, or BPE; tests/llm/test_pipeline.py checks each stage against brute force.
+ORACLE_SQL = None
+
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, ids) after all stages over documents."""
     docs = table(spark, sf_dir, "documents")
-    for name, fn in STAGES[:-1]:
-        docs = stage(fn(spark, docs, sf_dir), name)[0]
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, fn in STAGES:
+        docs, _ = stage(fn(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

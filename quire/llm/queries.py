@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam, pii, quality, sharding, simhash, tokenbin, urlfilter, warc, wordbpe
+from quire.llm import decontam, maxent, pii, quality, sharding, simhash, tokenbin, urlfilter, warc, wordbpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": tokenbin.query,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": sharding.query,
     "op5_warc": warc.query,
     "op6_decontamination": decontam.query,
+    "op7_maxent": maxent.query,
     "op8_url_filter": urlfilter.query,
     "op9_simhash": simhash.query,
     "op10_pii": pii.query,
