@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions import text as T
+from quire.operators import align, payload, runlog, split
+from quire.sources import files
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -23,16 +27,231 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-@query(
-    "split_assign",
-    """
-    WITH d AS (SELECT doc_id, sha256(text) AS sha, count(*) OVER (PARTITION BY sha256(text)) AS copies FROM documents),
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+SPLITS = """d AS (SELECT doc_id, sha256(text) AS sha, count(*) OVER (PARTITION BY sha256(text)) AS copies FROM documents),
     b AS (SELECT doc_id, CASE WHEN copies > 1 THEN 'dup:' || substr(sha, 1, 12) ELSE 'doc:' || sha END AS split_group_id FROM d),
-    c AS (SELECT *, (('0x' || substr(sha256('split-v1:' || split_group_id), 1, 8))::UBIGINT % 100)::BIGINT AS bucket FROM b)
-    SELECT doc_id, split_group_id, bucket, CASE WHEN bucket < 80 THEN 'train' WHEN bucket < 90 THEN 'validation' ELSE 'test' END AS split FROM c
-    """,
+    c AS (SELECT *, (('0x' || substr(sha256('split-v1:' || split_group_id), 1, 8))::UBIGINT % 100)::BIGINT AS bucket FROM b),
+    s AS (SELECT doc_id, split_group_id, bucket, CASE WHEN bucket < 80 THEN 'train' WHEN bucket < 90 THEN 'validation' ELSE 'test' END AS split FROM c)"""
+
+
+def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.assign(split.group_by_text(read(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+@query("split_assign", f"WITH {SPLITS} SELECT * FROM s")
+def split_assign(spark, sf_dir):
+    return splits(spark, sf_dir)
+
+
+@query("split_counts", f"WITH {SPLITS} SELECT count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation, count(*) FILTER (split = 'test') AS test, count(DISTINCT split_group_id) AS groups FROM s")
+def split_counts(spark, sf_dir):
+    one = {n: F.count_if(F.col("split") == n).alias(n) for n in ("train", "validation", "test")}
+    return splits(spark, sf_dir).agg(*one.values(), F.countDistinct("split_group_id").alias("groups"))
+
+
+@query("leakage", f"WITH {SPLITS} SELECT count(*) AS leaking_groups FROM (SELECT split_group_id FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1)")
+def leakage(spark, sf_dir):
+    g = splits(spark, sf_dir).groupBy("split_group_id").agg(F.min("split").alias("a"), F.max("split").alias("b"))
+    return g.agg(F.count_if(F.col("a") != F.col("b")).alias("leaking_groups"))
+
+
+@query("dup_groups", "SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS first_member FROM documents GROUP BY 1 HAVING count(*) > 1")
+def dup_groups(spark, sf_dir):
+    return files.duplicate_groups(read(spark, sf_dir, "documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256")), "sha256", "doc_id")
+
+
+COUNTS = r"""q AS (SELECT doc_id, CASE WHEN lang = 'en' THEN 'EN' ELSE 'OTHER' END AS language,
+      length(trim(coalesce(text, ''), chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||chr(31)||chr(32)||chr(133)||chr(160)||chr(5760)||chr(8192)||chr(8193)||chr(8194)||chr(8195)||chr(8196)||chr(8197)||chr(8198)||chr(8199)||chr(8200)||chr(8201)||chr(8202)||chr(8232)||chr(8233)||chr(8239)||chr(8287)||chr(12288)))::BIGINT AS chars,
+      length(regexp_replace(coalesce(text, ''), '[^\x{0900}-\x{097F}]', '', 'g'))::BIGINT AS devanagari, length(regexp_replace(coalesce(text, ''), '[^A-Za-z\x{0130}\x{212A}]', '', 'g'))::BIGINT AS latin,
+      length(regexp_replace(coalesce(text, ''), '\P{Nd}', '', 'g'))::BIGINT AS digits, (length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(65533), '')))::BIGINT AS replacement, lower(coalesce(text, '')) AS l FROM documents)"""
+
+
+@query("script_counts", f"WITH {COUNTS} SELECT doc_id, chars, devanagari, latin, digits, replacement FROM q")
+def script_counts(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", *(c.alias(n) for n, c in T.script_counts(F.col("text")).items()))
+
+
+@query(
+    "text_quality",
+    f"""WITH {COUNTS} SELECT doc_id, (contains(l, 'supreme court')::INT + contains(l, 'judgment')::INT + contains(l, 'appeal')::INT + contains(l, 'petitioner')::INT + contains(l, 'respondent')::INT)::BIGINT AS legal_marker_count,
+      replacement / greatest(1, chars) AS replacement_ratio, CASE language WHEN 'EN' THEN latin >= greatest(30, 2 * devanagari) ELSE chars > 0 END AS script_ok,
+      chars >= 20 AND replacement / greatest(1, chars) < 0.02 AND CASE language WHEN 'EN' THEN latin >= greatest(30, 2 * devanagari) ELSE chars > 0 END AS quality_ok FROM q""",
 )
-def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quire.operators import split
+def text_quality(spark, sf_dir):
+    q = T.quality(F.col("text"), F.when(F.col("lang") == "en", "EN").otherwise("OTHER"))
+    return read(spark, sf_dir, "documents").select("doc_id", *(q[n].alias(n) for n in ("legal_marker_count", "replacement_ratio", "script_ok", "quality_ok")))
+
+
+FLOW = """t AS (SELECT conv_id, CASE role WHEN 'user' THEN 'HIN' ELSE 'EN' END AS side, row_number() OVER (PARTITION BY conv_id, role = 'user' ORDER BY turn) AS page,
+      CASE WHEN length(text) >= 20 THEN length(text) ELSE 0 END::DOUBLE AS w FROM conversations),
+    v AS (SELECT *, sum(w) OVER (PARTITION BY conv_id, side ORDER BY page) AS u, sum(w) OVER (PARTITION BY conv_id, side) AS total, count(*) OVER (PARTITION BY conv_id, side) AS n FROM t),
+    i AS (SELECT conv_id AS pair_id, side, page, n, CASE WHEN total <= 0 THEN (page - 1) / n ELSE (u - w) / total END AS a, CASE WHEN total <= 0 THEN page / n ELSE u / total END AS b FROM v),
+    o AS (SELECT s.pair_id, s.page AS source_page, t.page AS target_page, s.n AS source_pages, t.n AS target_pages,
+      round((least(s.b, t.b) - greatest(s.a, t.a)) / greatest(s.b - s.a, 1e-6), 6) AS source_ratio, round((least(s.b, t.b) - greatest(s.a, t.a)) / greatest(t.b - t.a, 1e-6), 6) AS target_ratio
+      FROM i s JOIN i t ON s.pair_id = t.pair_id AND s.side = 'HIN' AND t.side = 'EN' AND least(s.b, t.b) > greatest(s.a, t.a)),
+    m AS (SELECT pair_id, source_page, source_pages, target_pages, max(source_ratio) AS top_ratio,
+      coalesce(list_sort(list(target_page) FILTER (source_ratio >= 0.15)), [arg_min(target_page, (-source_ratio, target_page))]) AS targets FROM o GROUP BY ALL),
+    p AS (SELECT s.conv_id AS pair_id, s.page AS source_page, s.n AS source_pages, coalesce(t.n, 0) AS target_pages FROM v s LEFT JOIN (SELECT DISTINCT conv_id, n FROM v WHERE side = 'EN') t USING (conv_id) WHERE s.side = 'HIN'),
+    r AS (SELECT p.*, m.top_ratio, coalesce(array_to_string(m.targets, ','), '') AS targets, CASE WHEN m.targets IS NULL THEN 'unmatched_or_empty' WHEN len(m.targets) > 1 THEN 'source_page_spans_multiple_target_pages'
+      WHEN p.source_pages = p.target_pages AND m.targets[1] = p.source_page THEN 'same_page_likely' WHEN p.source_pages = p.target_pages THEN 'same_count_shift_or_bleed'
+      ELSE 'page_count_mismatch_single_target_page' END AS content_relation FROM p LEFT JOIN m USING (pair_id, source_page))"""
+
+
+def flow(spark, sf_dir) -> DataFrame:
+    from pyspark.sql import Window as W
+
+    side = F.when(F.col("role") == "user", "HIN").otherwise("EN")
+    n = F.length("text")
+    turns = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pair_id"), side.alias("side"), "turn", F.when(n >= 20, n).otherwise(0).alias("weight"))
+    return align.intervals(turns.withColumn("page", F.row_number().over(W.partitionBy("pair_id", "side").orderBy("turn"))))
+
+
+def relations(spark, sf_dir) -> DataFrame:
+    cut = flow(spark, sf_dir)
+    targets = cut.where("side = 'EN'").groupBy("pair_id").agg(F.max("n").alias("target_pages"))
+    pages = cut.where("side = 'HIN'").join(targets, "pair_id", "left").select("pair_id", F.col("page").alias("source_page"), F.col("n").alias("source_pages"), F.coalesce("target_pages", F.lit(0)).alias("target_pages"), F.lit(True).alias("source_ok"), F.lit(True).alias("target_ok"))
+    return align.classify(pages, align.significant(align.overlaps(cut, "HIN", "EN")))
+
+
+@query("page_intervals", f"WITH {FLOW} SELECT pair_id, side, page, round(a, 6) AS \"start\", round(b, 6) AS stop FROM i")
+def page_intervals(spark, sf_dir):
+    return flow(spark, sf_dir).select("pair_id", "side", F.col("page").cast("bigint").alias("page"), F.round("start", 6).alias("start"), F.round("stop", 6).alias("stop"))
+
+
+@query("interval_overlap", f"WITH {FLOW} SELECT pair_id, source_page, target_page, source_ratio, target_ratio FROM o")
+def interval_overlap(spark, sf_dir):
+    return align.overlaps(flow(spark, sf_dir), "HIN", "EN").select("pair_id", F.col("source_page").cast("bigint").alias("source_page"), F.col("target_page").cast("bigint").alias("target_page"), "source_ratio", "target_ratio")
+
+
+@query("significant_pages", f"WITH {FLOW} SELECT pair_id, source_page, top_ratio, array_to_string(targets, ',') AS targets FROM m")
+def significant_pages(spark, sf_dir):
+    return align.significant(align.overlaps(flow(spark, sf_dir), "HIN", "EN")).select("pair_id", F.col("source_page").cast("bigint").alias("source_page"), "top_ratio", F.array_join(F.transform("targets", lambda x: x.cast("string")), ",").alias("targets"))
+
+
+@query("relation_classify", f"WITH {FLOW} SELECT pair_id, source_page, targets, content_relation FROM r")
+def relation_classify(spark, sf_dir):
+    return relations(spark, sf_dir).select("pair_id", F.col("source_page").cast("bigint").alias("source_page"), F.coalesce(F.array_join(F.transform("targets", lambda x: x.cast("string")), ","), F.lit("")).alias("targets"), "content_relation")
+
+
+@query("verification_summary", f"WITH {FLOW} SELECT content_relation, count(*) AS n FROM r GROUP BY 1")
+def verification_summary(spark, sf_dir):
+    return relations(spark, sf_dir).groupBy("content_relation").agg(F.count("*").alias("n"))
+
+
+@query("pair_summary", f"WITH {FLOW} SELECT pair_id, count(*) AS pages, count(*) FILTER (content_relation = 'same_page_likely') AS same_pages, bool_or(content_relation <> 'same_page_likely') AS needs_review, max(source_pages) AS source_pages, max(target_pages) AS target_pages FROM r GROUP BY 1")
+def pair_summary(spark, sf_dir):
+    return relations(spark, sf_dir).groupBy("pair_id").agg(F.count("*").alias("pages"), F.count_if("same_information_likely").alias("same_pages"), F.bool_or("needs_manual_review").alias("needs_review"), F.max("source_pages").alias("source_pages"), F.max("target_pages").alias("target_pages"))
+
+
+@query("pairing_full_outer", "WITH a AS (SELECT c_custkey AS k FROM customer), b AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1) SELECT coalesce(a.k, b.k) AS pair_key, a.k IS NOT NULL AND b.k IS NOT NULL AS paired, CASE WHEN a.k IS NULL THEN 'missing_left' WHEN b.k IS NULL THEN 'missing_right' ELSE '' END AS failure_reasons FROM a FULL JOIN b ON a.k = b.k")
+def pairing_full_outer(spark, sf_dir):
+    a = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pair_key"), F.lit(True).alias("l"))
+    b = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("pair_key")).distinct().withColumn("r", F.lit(True))
+    return a.join(b, "pair_key", "full").select("pair_key", (F.col("l").isNotNull() & F.col("r").isNotNull()).alias("paired"), F.when(F.col("l").isNull(), "missing_left").when(F.col("r").isNull(), "missing_right").otherwise("").alias("failure_reasons"))
+
+
+@query("mime_quarantine", "SELECT page_id, CASE WHEN starts_with(lower(ltrim(html)), '<!doctype html') OR starts_with(lower(ltrim(html)), '<html') THEN 'text/html' ELSE 'application/octet-stream' END AS mime_type, CASE WHEN starts_with(lower(ltrim(html)), '<!doctype html') OR starts_with(lower(ltrim(html)), '<html') THEN 'html_masquerading_as_pdf' ELSE 'unsupported_mime:application/octet-stream' END AS quarantine_reason FROM pages")
+def mime_quarantine(spark, sf_dir):
+    mime = T.mime_of(F.col("html"))
+    return read(spark, sf_dir, "pages").select("page_id", mime.alias("mime_type"), T.quarantine_reason(mime, F.lit(True), F.lit(1)).alias("quarantine_reason"))
+
+
+@query("ids", "SELECT page_id, regexp_replace(url, '[^A-Za-z0-9_.-]+', '_', 'g') AS safe_id, 'web:' || substr(sha256(url || ':' || sha256(html)), 1, 12) AS document_id, 'web:' || substr(sha256(url || ':' || sha256(html)), 1, 12) || ':p0001' AS first_page FROM pages")
+def ids(spark, sf_dir):
+    doc = T.document_id(F.lit("web"), F.col("url"), F.sha2(F.col("html").cast("binary"), 256))
+    return read(spark, sf_dir, "pages").select("page_id", T.safe_id(F.col("url")).alias("safe_id"), doc.alias("document_id"), T.page_id(doc, F.lit(1)).alias("first_page"))
+
+
+@query("payload_validate", "WITH e AS (SELECT event_id, (props->>'k')::DOUBLE AS k FROM events), c AS (SELECT event_id, CASE WHEN k > 1 AND k <= 100 THEN k / 100 ELSE k END AS confidence FROM e) SELECT event_id, round(confidence, 6) AS confidence, CASE WHEN confidence < 0.6 THEN 'low_confidence' ELSE '' END AS errors FROM c")
+def payload_validate(spark, sf_dir):
+    raw = F.get_json_object("props", "$.k")
+    yes = F.lit(True)
+    found = payload.errors(dict.fromkeys(payload.FIELDS, yes), raw, F.lit("text"), F.lit(False), yes)
+    return read(spark, sf_dir, "events").select("event_id", F.round(payload.confidence(raw), 6).alias("confidence"), F.array_join(found, ",").alias("errors"))
+
+
+def log(spark, sf_dir) -> DataFrame:
+    return read(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.col("user_id").alias("page_id"), F.col("event_type").alias("status"), "value")
+
+
+@query("failed_attempts", "SELECT user_id AS page_id, count(*) AS failed_attempts FROM events WHERE event_type = 'error' GROUP BY 1")
+def failed_attempts(spark, sf_dir):
+    return runlog.failed_attempts(log(spark, sf_dir), "page_id", F.lit(1), F.col("status") == "error")
+
+
+@query("latest_failure", "SELECT user_id AS page_id, max(event_id) AS seq, arg_max(value, event_id) AS value FROM events WHERE event_type = 'error' GROUP BY 1")
+def latest_failure(spark, sf_dir):
+    return runlog.latest(log(spark, sf_dir).where("status = 'error'"), "page_id", "seq", "value")
+
+
+@query("quota_streak", "WITH i AS (SELECT user_id, event_id, event_type, sum((event_type <> 'error')::INT) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM events) SELECT user_id AS page_id, min(event_id) AS first_seq, max(event_id) AS last_seq, count(*) AS length FROM i WHERE event_type = 'error' GROUP BY user_id, island")
+def quota_streak(spark, sf_dir):
+    return runlog.streaks(log(spark, sf_dir), "seq", F.col("status") == "error", "page_id")
+
+
+@query("pending_topk", "WITH p AS (SELECT user_id AS page_id, sum(length(props))::BIGINT AS cost, count(*) FILTER (event_type = 'error') AS failed_attempts, coalesce(bool_or(event_type = 'purchase' AND (props->>'k')::INT > 95), false) AS done FROM events GROUP BY 1) SELECT page_id, cost, failed_attempts FROM p WHERE NOT done AND failed_attempts < 25 ORDER BY failed_attempts, cost, page_id LIMIT 96")
+def pending_topk(spark, sf_dir):
+    d = log(spark, sf_dir)
+    done = read(spark, sf_dir, "events").where("event_type = 'purchase' AND CAST(get_json_object(props, '$.k') AS INT) > 95").select(F.col("user_id").alias("page_id"))
+    pages = read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("page_id")).agg(F.sum(F.length("props")).alias("cost"))
+    return runlog.pending(pages, done, runlog.failed_attempts(d, "page_id", F.lit(1), F.col("status") == "error"), "page_id", "cost", 25, 96)
+
+
+@query("status_last_n", "SELECT event_type AS status, count(*) AS n FROM (SELECT * FROM events ORDER BY event_id DESC LIMIT 500) GROUP BY 1")
+def status_last_n(spark, sf_dir):
+    return runlog.status_of_last(log(spark, sf_dir), "seq", "status", 500)
+
+
+@query("flag_histogram", f"WITH {COUNTS}, f AS (SELECT unnest([CASE WHEN latin > 500 THEN 'latin' END, CASE WHEN digits > 0 THEN 'digits' END, CASE WHEN chars < 200 THEN 'short' END]) AS flag FROM q) SELECT flag, count(*) AS n FROM f WHERE flag IS NOT NULL GROUP BY 1")
+def flag_histogram(spark, sf_dir):
+    n = T.script_counts(F.col("text"))
+    flags = F.array_compact(F.array(F.when(n["latin"] > 500, "latin"), F.when(n["digits"] > 0, "digits"), F.when(n["chars"] < 200, "short")))
+    return read(spark, sf_dir, "documents").select(F.explode(flags).alias("flag")).groupBy("flag").agg(F.count("*").alias("n"))
+
+
+ACCEPTED = f"WITH {SPLITS}, a AS (SELECT s.*, 'ft:' || s.doc_id AS example_id FROM s JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1) USING (doc_id))"
+
+
+def accepted(spark, sf_dir) -> DataFrame:
+    good = read(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return splits(spark, sf_dir).join(good, "doc_id", "left_semi").withColumn("example_id", F.concat(F.lit("ft:"), F.col("doc_id").cast("string")))
+
+
+@query("ft_export", f"{ACCEPTED} SELECT a.example_id, a.split, d.lang AS language, d.text AS target FROM a JOIN documents d USING (doc_id)")
+def ft_export(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("language"), F.col("text").alias("target"))
+    return accepted(spark, sf_dir).join(d, "doc_id").select("example_id", "split", "language", "target")
+
+
+@query("calibration_256", f"{ACCEPTED} SELECT example_id, sha256('calibration-v1' || example_id) AS h FROM a WHERE split = 'train' ORDER BY h, example_id LIMIT 256")
+def calibration_256(spark, sf_dir):
+    return accepted(spark, sf_dir).where("split = 'train'").select("example_id", F.sha2(F.concat(F.lit("calibration-v1"), "example_id"), 256).alias("h")).orderBy("h", "example_id").limit(256)
+
+
+@query("eval_report", f"{ACCEPTED} SELECT count(*) AS examples, count(*) FILTER (split = 'train') AS train, count(DISTINCT split_group_id) AS groups, (SELECT count(*) FROM documents) AS pages, count(*) / greatest(1, (SELECT count(*) FROM documents)) AS acceptance_rate, greatest(0, floor(0.95 * (SELECT count(*) FROM documents))::BIGINT + (floor(0.95 * (SELECT count(*) FROM documents)) < 0.95 * (SELECT count(*) FROM documents))::INT - count(*))::BIGINT AS needed_for_95 FROM a")
+def eval_report(spark, sf_dir):
+    n = read(spark, sf_dir, "documents").agg(F.count("*").alias("pages"))
+    a = accepted(spark, sf_dir).agg(F.count("*").alias("examples"), F.count_if(F.col("split") == "train").alias("train"), F.countDistinct("split_group_id").alias("groups"))
+    goal = F.lit(0.95) * F.col("pages")
+    need = F.floor(goal).cast("bigint") + (F.floor(goal) < goal).cast("bigint") - F.col("examples")
+    return a.join(F.broadcast(n), how="cross").select("examples", "train", "groups", "pages", (F.col("examples") / F.greatest("pages", F.lit(1))).alias("acceptance_rate"), F.greatest(need, F.lit(0)).alias("needed_for_95"))
+
+
+@query("completion_audit", f"{ACCEPTED}, l AS (SELECT split_group_id FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1) SELECT (SELECT count(*) = 0 FROM l) AS leakage_free, (SELECT count(*) FROM a) > 0 AS exports_present, (SELECT count(*) = (SELECT count(*) FROM documents) FROM s) AS all_pages_split, (SELECT count(*) FROM a) >= 0.95 * (SELECT count(*) FROM documents) AS acceptance_ok, (SELECT count(*) = (SELECT count(DISTINCT example_id) FROM a) FROM a) AS examples_unique")
+def completion_audit(spark, sf_dir):
+    s = splits(spark, sf_dir)
+    leaks = s.groupBy("split_group_id").agg(F.min("split").alias("a"), F.max("split").alias("b")).agg(F.count_if(F.col("a") != F.col("b")).alias("leaks"))
+    n = read(spark, sf_dir, "documents").agg(F.count("*").alias("pages"))
+    a = accepted(spark, sf_dir).agg(F.count("*").alias("examples"), F.countDistinct("example_id").alias("own"))
+    one = a.join(F.broadcast(n), how="cross").join(F.broadcast(leaks), how="cross").join(F.broadcast(s.agg(F.count("*").alias("split_rows"))), how="cross")
+    return one.select((F.col("leaks") == 0).alias("leakage_free"), (F.col("examples") > 0).alias("exports_present"), (F.col("split_rows") == F.col("pages")).alias("all_pages_split"), (F.col("examples") >= F.lit(0.95) * F.col("pages")).alias("acceptance_ok"), (F.col("examples") == F.col("own")).alias("examples_unique"))
+
 
-    return split.assign(split.group_by_text(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text"))
+@query("json_salvage")
+def json_salvage(spark, sf_dir):
+    """Broken payloads made of texts: a raw line end inside a string, prose around the object."""
+    raw = F.concat(F.lit('Here it is:\n{"plain_text": "'), F.regexp_replace("text", '["\\\\]', ""), F.lit('", "confidence": 0.9}\nDone.'))
+    return read(spark, sf_dir, "documents").select("doc_id", payload.repaired(raw).alias("payload"))
