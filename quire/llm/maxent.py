@@ -1,10 +1,9 @@
 """Operator 7, language-model scoring with a hashed maximum-entropy model and class-factored softmax.
 
 P(token | history) = P(class | history) * P(token | class).  The class is predicted by a softmax whose logits sum
-hashed feature weights: a bias, the previous word (n-gram), the word two back (skip), the pair of both, and the word three back
-(skip).  Classes group the vocabulary by the spelling of its words (k-means over character trigrams, which parts
-languages and word forms) and then by frequency; words below the TOP most frequent, and unknown ones, fall in the
-tail class of their spelling.  P(token | class) is the smoothed relative frequency of the training tokens.
+hashed feature weights: a bias, the previous word (n-gram), the word two back (skip), and the pair of both.
+Classes group the vocabulary by the spelling of its words (k-means over character trigrams) and then by frequency; words below the TOP most frequent, and unknown ones, fall in the tail class of the
+group that their last two bytes point to.  P(token | class) is the smoothed relative frequency of the training tokens.
 
 Training: in each of ROUNDS rounds every task takes its share of the training documents and makes gradient updates on minibatches
 of sparse features in numpy, starting from the weights of the round before; the weights of all tasks are averaged block
@@ -36,9 +35,9 @@ from quire.llm.simhash import LOWER
 from quire.llm.wordbpe import Twofold
 
 #: Words with a place of their own, spelling groups, and frequency bins within a group.
-TOP, GROUPS, BINS = 16_384, 8, 6
-#: Hash buckets of each feature kind, kinds (previous, skip 2, pair, skip 3), rounds, tokens in a minibatch, rate.
-BUCKETS, KINDS, ROUNDS, BATCH, RATE = 4096, 4, 2, 4096, 0.15
+TOP, GROUPS, BINS = 16_384, 8, 4
+#: Hash buckets of each feature kind, kinds (previous, skip 2, pair), rounds, tokens in a minibatch, rate.
+BUCKETS, KINDS, ROUNDS, BATCH, RATE = 4096, 3, 2, 8192, 0.2
 FOLDS, HELD_OUT = 5, 1
 DIMS = 256
 #: Distinct words whose counts a task holds, and rows of weights in a block of the averaging shuffle.
@@ -94,7 +93,7 @@ class Vocabulary:
     ids: dict[bytes, int]  # of the top words; the end of text is one of them
     counts: np.ndarray  # of the top words
     classes: np.ndarray  # class of each top word, then of each group's tail
-    centres: np.ndarray
+    endings: dict[bytes, int]
     total: int
     distinct: int
     within: np.ndarray  # log10 P(word | class) of the top words
@@ -102,7 +101,15 @@ class Vocabulary:
     n_classes: int
 
     def group(self, w: bytes) -> int:
-        return int(np.argmax(spelling([w]) @ self.centres.T))
+        return self.endings.get(w[-2:], 0)
+
+
+def endings(ws: list[bytes], own: np.ndarray, n: np.ndarray) -> dict[bytes, int]:
+    """The group that most tokens of each two-byte ending belong to, among the top words; it places tail words."""
+    sums: dict[bytes, np.ndarray] = {}
+    for w, g, c in zip(ws, own.tolist(), n.tolist(), strict=True):
+        sums.setdefault(w[-2:], np.zeros(GROUPS))[g] += c
+    return {e: int(np.argmax(x)) for e, x in sums.items()}
 
 
 def count_words(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -131,14 +138,13 @@ def count_words(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, "w binary, n long")
 
 
-def tail_groups(counts: DataFrame, ids, centres) -> DataFrame:
+def tail_groups(counts: DataFrame, ids, ends: dict[bytes, int]) -> DataFrame:
     """(h, n, g) of the words that aren't among the top."""
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
         rows = [(w, n) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if w not in ids.value]
         ws = [w for w, _ in rows]
-        own = np.argmax(spelling(ws) @ centres.T, 1) if ws else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in ws], pa.int64()), pa.array([n for _, n in rows], pa.int64()), pa.array(own.astype(np.int32))], ["h", "n", "g"])
+        return pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in ws], pa.int64()), pa.array([n for _, n in rows], pa.int64()), pa.array([ends.get(w[-2:], 0) for w in ws], pa.int32())], ["h", "n", "g"])
 
     return map_batches(counts, fn, "h long, n long, g int")
 
@@ -153,8 +159,9 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame, str]:
     vectors = spelling([w for w, _ in top])
     centres = centroids(vectors, n, GROUPS)
     own = np.argmax(vectors @ centres.T, 1) if top else np.zeros(0, np.int64)
+    ends = endings([w for w, _ in top], own, n)
     shared = spark.sparkContext.broadcast(set(ids))
-    tail, at = stage(tail_groups(counts, shared, centres), "tail")
+    tail, at = stage(tail_groups(counts, shared, ends), "tail")
     sums = np.zeros((GROUPS, 2))
     for r in tail.groupBy("g").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         sums[r.g] = r.n, r.v
@@ -167,7 +174,7 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame, str]:
         classes[len(top) + g] = g * (BINS + 1) + BINS
     mass = np.bincount(classes[: len(top)], n, GROUPS * (BINS + 1))
     within = np.log10(n / mass[classes[: len(top)]]) if top else np.zeros(0)
-    return Vocabulary(ids, n.astype(np.int64), classes, centres, int(total or 0), int(distinct), within, sums, GROUPS * (BINS + 1)), tail, at
+    return Vocabulary(ids, n.astype(np.int64), classes, ends, int(total or 0), int(distinct), within, sums, GROUPS * (BINS + 1)), tail, at
 
 
 class Coder:
@@ -198,10 +205,10 @@ def coder(shared) -> Coder:
 
 def features(code: np.ndarray, n_codes: int) -> np.ndarray:
     """(tokens, KINDS) rows of the weight table that are active for each token of one text; n_codes stands for its beginning."""
-    back = np.full((3, len(code)), n_codes, np.int64)
-    for k in range(3):
+    back = np.full((2, len(code)), n_codes, np.int64)
+    for k in range(2):
         back[k, k + 1 :] = code[: len(code) - k - 1]
-    mixed = np.stack([back[0], back[1] + 1_000_003, back[0] * 2_654_435_761 + back[1] * 40_503 + 7, back[2] + 5_000_011])
+    mixed = np.stack([back[0], back[1] + 1_000_003, back[0] * 2_654_435_761 + back[1] * 40_503 + 7])
     with np.errstate(over="ignore"):
         h = mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return ((h >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64).T + np.arange(KINDS) * BUCKETS
@@ -229,8 +236,11 @@ def update(w: np.ndarray, squares: np.ndarray, f: np.ndarray, y: np.ndarray) ->
     w[-1] -= RATE * (g := p.mean(0)) / np.sqrt(squares[-1] + (g * g).sum() + 1e-8)
     squares[-1] += (g * g).sum()
     for k in range(KINDS):
-        order = np.argsort(f[:, k], kind="stable")
-        rows, first = np.unique(f[order, k], return_index=True)
+        own = (f[:, k] - k * BUCKETS).astype(np.uint16)  # 16 bits: numpy sorts them by radix
+        order = np.argsort(own, kind="stable")
+        ordered = own[order]
+        first = np.concatenate(([0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1))
+        rows = ordered[first].astype(np.int64) + k * BUCKETS
         g = np.add.reduceat(p[order], first, axis=0) / len(y)
         squares[rows] += (g * g).mean(1)
         w[rows] -= RATE * 0.5 * g / np.sqrt(squares[rows] + 1e-8)[:, None]
@@ -329,9 +339,10 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 known = code < top
                 f, y, s = features(code, top + GROUPS), classes[code], 0.0
                 for at in range(0, len(y), BATCH):
-                    z = logits(w, f[at : at + BATCH]).astype(np.float64)
+                    z = logits(w, f[at : at + BATCH])
                     z -= z.max(1, keepdims=True)
-                    s += float((z[np.arange(len(z)), y[at : at + BATCH]] - np.log(np.exp(z).sum(1))).sum())
+                    mine = z[np.arange(len(z)), y[at : at + BATCH]].astype(np.float64)
+                    s += float((mine - np.log(np.exp(z, out=z).sum(1, dtype=np.float64))).sum())
                 rest = Counter(ws[i] for i in np.flatnonzero(~known).tolist() if i < len(ws))
                 lone = int(not known[-1])  # the end where nothing was learnt
                 rows.append((k, held_out(k), len(code), int(known.sum()), float(base[code[known]].sum()) + lone * float(base[-1]), s / np.log(10) + float(within[code].sum()), [{"h": word_hash(x), "g": code_of.map[x] - top, "n": c} for x, c in rest.items()]))
