@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from functools import lru_cache
@@ -49,7 +50,7 @@ class ByteBPE:
     text has no two white-space characters side by side; other texts are given to the library whole.
     """
 
-    def __init__(self, path: str, cache: int = 250_000):
+    def __init__(self, path: str, cache: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -61,7 +62,8 @@ class ByteBPE:
         self.letters = {b: c for b, c in byte_letters().items()}
         self.ascii = {b: c for b, c in self.letters.items() if b < 128}
         self.find = regex.compile(PIECES).findall
-        self.odd = regex.compile(r"\s\s|[^\x00-ɏ]|[\x1c-\x1f\x85\xa0]").search
+        self.odd = re.compile("[^\n -~\xa1-\u024f]").search
+        self.raw = [i.to_bytes(2 if self.width == "<u2" else 4, "little") for i in range(self.tokenizer.get_vocab_size(True))]
         self.pieces = Twofold(self.piece, cache)
         self.words = Twofold(self.word, cache)
 
@@ -70,14 +72,19 @@ class ByteBPE:
 
     def word(self, w: str) -> bytes:
         mapped = w.translate(self.ascii) if w.isascii() else "".join(map(self.letters.__getitem__, w.encode()))
-        return np.asarray([t.id for t in self.model.tokenize(mapped)], self.width).tobytes()
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.model.tokenize(mapped)])
 
     def piece(self, p: str) -> bytes:
-        words = self.words
+        words, body = self.words, p[1:] if p[0] == " " else p
+        if body.isalpha():
+            return words[p]
+        if body[:-1].isalpha() and body[-1] in ".,":
+            return words[p[:-1]] + words[p[-1]]
         return b"".join([words[w] for w in self.find(p)])
 
     def encode(self, text: str) -> bytes:
-        if not self.by_piece or any(s in text for s in self.special) or self.odd(text):
+        if not self.by_piece or any(s in text for s in (*self.special, "  ", " \n", "\n ", "\n\n")) or self.odd(text):
             return self.whole(text)
         first, *rest = text.split(" ")
         pieces = self.pieces
