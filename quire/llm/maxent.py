@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,10 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import bound_batches, drop, map_batches, stage, table, utf8
 from quire.llm.simhash import LOWER
-from quire.llm.wordbpe import Twofold
 
 #: Words with a place of their own, spelling groups, and frequency bins within a group.
 TOP, GROUPS, BINS = 16_384, 8, 4
-#: Hash buckets of each feature kind, kinds (previous, skip 2, pair), rounds, tokens in a minibatch, rate.
+#: Hash buckets (a power of two) of each feature kind, kinds (previous, skip 2, pair), rounds, tokens in a minibatch, rate.
 BUCKETS, KINDS, ROUNDS, BATCH, RATE = 4096, 3, 2, 8192, 0.2
 FOLDS, HELD_OUT = 5, 1
 DIMS = 256
@@ -178,18 +178,22 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame, str]:
 
 
 class Coder:
-    """Words to codes: the place of a top word, or TOP + group for others."""
+    """Words to codes: the place of a top word, or TOP + group for others.
+
+    Both tables are small enough for a core's cache; a larger one of tail words is slower than their endings.
+    """
 
     def __init__(self, v: Vocabulary):
         self.v, self.n = v, len(v.ids)
-        self.map = Twofold(lambda w: v.ids[w] if w in v.ids else self.n + v.group(w), 300_000)
+        self.tail = {e: self.n + g for e, g in v.endings.items()}
 
     def codes(self, b: bytes) -> tuple[np.ndarray, list[bytes]]:
         ws = words(b)
-        get = self.map
-        code = [get[w] for w in ws]
-        code.append(self.v.ids.get(END, self.n))
-        return np.array(code, np.int64), ws
+        ws.append(END)
+        code = np.fromiter(map(self.v.ids.get, ws, repeat(-1)), np.int64, len(ws))
+        rest, tail = np.flatnonzero(code < 0), self.tail.get
+        code[rest] = [tail(ws[i][-2:], self.n) for i in rest.tolist()]
+        return code, ws
 
 
 CODERS: dict[int, Coder] = {}
@@ -204,21 +208,22 @@ def coder(shared) -> Coder:
 
 
 def features(code: np.ndarray, n_codes: int) -> np.ndarray:
-    """(tokens, KINDS) rows of the weight table that are active for each token of one text; n_codes stands for its beginning."""
+    """(KINDS, tokens) rows of the weight table that are active for each token of one text; n_codes stands for its beginning."""
     back = np.full((2, len(code)), n_codes, np.int64)
     for k in range(2):
         back[k, k + 1 :] = code[: len(code) - k - 1]
     mixed = np.stack([back[0], back[1] + 1_000_003, back[0] * 2_654_435_761 + back[1] * 40_503 + 7])
     with np.errstate(over="ignore"):
         h = mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((h >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64).T + np.arange(KINDS) * BUCKETS
+    return ((h >> np.uint64(40)) & np.uint64(BUCKETS - 1)).astype(np.int64) + np.arange(0, KINDS * BUCKETS, BUCKETS)[:, None]
 
 
 def logits(w: np.ndarray, f: np.ndarray) -> np.ndarray:
     """Class scores; the last row of w is the bias."""
-    z = w[-1] + w[f[:, 0]]
+    z = w.take(f[0], 0)
+    z += w[-1]
     for k in range(1, KINDS):
-        z += w[f[:, k]]
+        z += w.take(f[k], 0)
     return z
 
 
@@ -233,15 +238,15 @@ def update(w: np.ndarray, squares: np.ndarray, f: np.ndarray, y: np.ndarray) ->
     """One adaptive gradient step on a minibatch, touching the rows of its active features only."""
     p = softmax(logits(w, f))
     p[np.arange(len(y)), y] -= 1
+    n = p.shape[1]
     w[-1] -= RATE * (g := p.mean(0)) / np.sqrt(squares[-1] + (g * g).sum() + 1e-8)
     squares[-1] += (g * g).sum()
     for k in range(KINDS):
-        own = (f[:, k] - k * BUCKETS).astype(np.uint16)  # 16 bits: numpy sorts them by radix
-        order = np.argsort(own, kind="stable")
-        ordered = own[order]
-        first = np.concatenate(([0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1))
-        rows = ordered[first].astype(np.int64) + k * BUCKETS
-        g = np.add.reduceat(p[order], first, axis=0) / len(y)
+        own = f[k] - k * BUCKETS
+        active = np.flatnonzero(np.bincount(own, minlength=BUCKETS))
+        cells = ((own * n)[:, None] + np.arange(n)).ravel()  # the table flattened: one pass sums all rows at once
+        g = (np.bincount(cells, p.ravel(), BUCKETS * n).reshape(BUCKETS, n)[active] / len(y)).astype(np.float32)
+        rows = active + k * BUCKETS
         squares[rows] += (g * g).mean(1)
         w[rows] -= RATE * 0.5 * g / np.sqrt(squares[rows] + 1e-8)[:, None]
 
@@ -274,12 +279,12 @@ def train(docs: DataFrame, key: str, text: str, v: Vocabulary, shared) -> np.nda
                     ys.append(code_of.v.classes[code])
                     held += len(code)
                     if held >= BATCH:
-                        f, y = np.concatenate(fs), np.concatenate(ys)
+                        f, y = np.concatenate(fs, 1), np.concatenate(ys)
                         for at in range(0, len(y), BATCH):
-                            update(own, squares, f[at : at + BATCH], y[at : at + BATCH])
+                            update(own, squares, f[:, at : at + BATCH], y[at : at + BATCH])
                         seen, fs, ys, held = seen + held, [], [], 0
             if held:
-                update(own, squares, np.concatenate(fs), np.concatenate(ys))
+                update(own, squares, np.concatenate(fs, 1), np.concatenate(ys))
                 seen += held
             if seen:
                 blocks = [own[at : at + BLOCK].tobytes() for at in range(0, shape[0], BLOCK)]
@@ -333,21 +338,24 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         base = np.log10((np.concatenate([code_of.v.counts, np.zeros(GROUPS + 1)]) + 0.5) / low)
         within = np.concatenate([code_of.v.within, np.zeros(GROUPS)])
         for b in batches:
-            rows = []
+            rows, tails = [], []
             for k, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
                 code, ws = code_of.codes(t)
                 known = code < top
                 f, y, s = features(code, top + GROUPS), classes[code], 0.0
                 for at in range(0, len(y), BATCH):
-                    z = logits(w, f[at : at + BATCH])
+                    z = logits(w, f[:, at : at + BATCH])
                     z -= z.max(1, keepdims=True)
                     mine = z[np.arange(len(z)), y[at : at + BATCH]].astype(np.float64)
                     s += float((mine - np.log(np.exp(z, out=z).sum(1, dtype=np.float64))).sum())
-                rest = Counter(ws[i] for i in np.flatnonzero(~known).tolist() if i < len(ws))
                 lone = int(not known[-1])  # the end where nothing was learnt
-                rows.append((k, held_out(k), len(code), int(known.sum()), float(base[code[known]].sum()) + lone * float(base[-1]), s / np.log(10) + float(within[code].sum()), [{"h": word_hash(x), "g": code_of.map[x] - top, "n": c} for x, c in rest.items()]))
-            cols = list(zip(*rows, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[1], pa.bool_()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.float64()), pa.array(cols[6], pa.list_(pa.struct([("h", pa.int64()), ("g", pa.int32()), ("n", pa.int64())])))], [key, "held_out", "n_tokens", "top", "base", "part", "rest"])
+                tails.append(Counter([ws[i] for i in np.flatnonzero(~known[:-1]).tolist()]))
+                rows.append((k, held_out(k), len(code), int(known.sum()), float(base[code[known]].sum()) + lone * float(base[-1]), s / np.log(10) + float(within[code].sum())))
+            cols = list(zip(*rows, strict=True)) or [()] * 6
+            of, ends = [x for t in tails for x in t], code_of.v.endings.get
+            items = [pa.array([word_hash(x) for x in of], pa.int64()), pa.array([ends(x[-2:], 0) for x in of], pa.int32()), pa.array([c for t in tails for c in t.values()], pa.int64())]
+            rest = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tails)]), pa.int32()), pa.StructArray.from_arrays(items, ["h", "g", "n"]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(cols[1], pa.bool_()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.float64()), pa.array(cols[5], pa.float64()), rest], [key, "held_out", "n_tokens", "top", "base", "part", "rest"])
 
     scored = docs.mapInArrow(run, f"`{key}` {dict(docs.dtypes)[key]}, held_out boolean, n_tokens long, top long, base double, part double, rest array<struct<h:long,g:int,n:long>>")
     parts, _ = stage(scored.withColumn("_row", F.monotonically_increasing_id()), "scored")
