@@ -2,7 +2,8 @@
 
 Each pre-token's pairs are leaves of a segment tree whose nodes hold the least (rank, position); the root is the
 leftmost pair of lowest rank.  A merge changes three leaves, so each costs a logarithm, and a text without
-white space of any length is encoded in O(n log n).
+white space of any length is encoded in O(n log n).  Short pre-tokens that aren't cached are merged together: row by row of
+one numpy matrix lies a tree each, and every step takes all roots and updates all trees (merge_rows).
 
 Null text is empty and has no tokens; empty texts, repeated rows and empty tables give the rows one expects; very
 long texts need memory in proportion to their own length only.  Columns besides the id and the text are not read.
@@ -10,11 +11,15 @@ long texts need memory in proportion to their own length only.  Columns besides
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import string
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +30,9 @@ from quire.llm.common import map_batches, table, texts
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+"
 NONE = 1 << 62
+#: Leaves of the largest trees that are merged together, and characters of text whose new words meet in one step.
+LEAVES, CHUNK = 64, 2_000_000
+PUNCTUATION = frozenset(string.punctuation)
 
 
 class Twofold(dict):
@@ -38,11 +46,14 @@ class Twofold(dict):
         value = self.old.get(key)
         if value is None:
             value = self.fill(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def merge(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
@@ -98,6 +109,61 @@ def merge(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) ->
     return [s for s in syms if s >= 0]
 
 
+class PairTable:
+    """Merges as sorted arrays, to look many pairs up at once."""
+
+    def __init__(self, pairs: dict[tuple[int, int], tuple[int, int]], vocab: int):
+        self.vocab = vocab
+        rows = sorted((a * vocab + b, rank) for (a, b), (rank, _) in pairs.items())
+        self.keys = np.array([k for k, _ in rows] or [-1], np.int64)
+        self.ranks = np.array([r for _, r in rows] or [0], np.int64)
+        self.merged = np.zeros(int(self.ranks.max()) + 1, np.int64)
+        for rank, out in pairs.values():
+            self.merged[rank] = out
+
+    def leaves(self, a: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """rank * 2^32 + position of each pair (a, b) at a position; NONE where it doesn't merge or a symbol is negative."""
+        key = a * self.vocab + b
+        k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[k] == key) & (a >= 0) & (b >= 0), self.ranks[k] << 32 | at, NONE)
+
+
+def merge_rows(symbols: np.ndarray, size: int, table: PairTable) -> np.ndarray:
+    """merge() of many short words: rows of symbols, at least two columns more than `size` leaves, filled up with -1.
+
+    Returns the rows after all merges, with -1 where a symbol went into another.
+    """
+    n, width = symbols.shape
+    syms = symbols.copy()
+    places = np.arange(width)
+    after, before = np.tile(places + 1, (n, 1)), np.tile(places - 1, (n, 1))
+    tree = np.full((n, 2 * size), NONE, np.int64)
+    tree[:, size:] = table.leaves(syms[:, :size], syms[:, 1 : size + 1], places[:size])
+    for k in range(size - 1, 0, -1):
+        np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1], out=tree[:, k])
+    row = np.flatnonzero(tree[:, 1] != NONE)
+    while len(row):
+        root = tree[row, 1]
+        i = root & 0xFFFFFFFF
+        j = after[row, i]
+        k = after[row, j]
+        h = before[row, i]
+        own = table.merged[root >> 32]
+        syms[row, i], syms[row, j] = own, -1
+        after[row, i], before[row, k] = k, i
+        inner, led = j < size, h >= 0
+        tree[row[inner], size + j[inner]] = NONE
+        tree[row, size + i] = table.leaves(own, syms[row, k], i)
+        front = h[led]
+        tree[row[led], size + front] = table.leaves(syms[row[led], front], own[led], front)
+        node = size + np.stack([i, np.where(inner, j, i), np.where(led, h, i)])
+        for _ in range(size.bit_length() - 1):
+            node >>= 1
+            tree[row, node] = np.minimum(tree[row, 2 * node], tree[row, 2 * node + 1])
+        row = row[tree[row, 1] != NONE]
+    return syms
+
+
 @lru_cache(1)
 def byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, others follow from U+0100 on."""
@@ -119,52 +185,119 @@ class WordBPE:
         self.vocab, self.end = model["vocab"], model["end_of_word_suffix"] or ""
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
+        self.joined = {i: str(i) for i in self.names}
         self.pairs = {}
         for rank, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             self.pairs[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
+        self.table = PairTable(self.pairs, max(self.vocab.values(), default=0) + 1)
         letters = byte_letters()
         self.first = [self.vocab.get(letters[b]) for b in range(256)]
         self.last = [self.vocab.get(letters[b] + self.end) for b in range(256)]
+        self.whole_alphabet = None not in self.first and None not in self.last
+        self.first_of, self.last_of = (np.array([x or 0 for x in v], np.int64) for v in (self.first, self.last))
         self.split_words = regex.compile(WORDS).findall
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda s: [s]
+        #: No special string hides in letters with one mark behind them.
+        self.plain = all(sum(not c.isalpha() for c in a) > 1 for a in self.added)
         self.words = Twofold(self.word, cache)
         self.units = Twofold(self.unit, cache)
 
-    def word(self, w: str) -> tuple[int, ...]:
+    def shown(self, ids: list[int]) -> tuple[str, str]:
+        """Decimal ids, and tokens, each joined by a space."""
+        return " ".join(map(self.joined.__getitem__, ids)), " ".join(map(self.names.__getitem__, ids))
+
+    def word(self, w: str) -> tuple[str, str]:
         b = w.encode()
-        return tuple(merge([x for x in [*(self.first[c] for c in b[:-1]), self.last[b[-1]]] if x is not None], self.pairs))
+        return self.shown(merge([x for x in [*(self.first[c] for c in b[:-1]), self.last[b[-1]]] if x is not None], self.pairs))
+
+    def fill_words(self, new: set[str]) -> None:
+        """Put words into the cache, short ones by merge_rows(), grouped by the size of their trees."""
+        if not self.whole_alphabet:
+            return
+        groups: dict[int, list[tuple[str, bytes]]] = {}
+        for w in new:
+            b = w.encode()
+            if len(b) <= LEAVES + 1:
+                groups.setdefault(1 << max(0, len(b) - 2).bit_length(), []).append((w, b))
+        for size, members in groups.items():
+            for at in range(0, len(members), 1 << 14):
+                part = members[at : at + (1 << 14)]
+                lengths = np.fromiter((len(b) for _, b in part), np.int64, len(part))
+                flat = np.frombuffer(b"".join([b for _, b in part]), np.uint8)
+                ends = np.cumsum(lengths) - 1
+                ids = self.first_of[flat]
+                ids[ends] = self.last_of[flat[ends]]
+                rows = np.full((len(part), size + 2), -1, np.int64)
+                rows[np.arange(size + 2) < lengths[:, None]] = ids
+                done = merge_rows(rows, size, self.table)
+                left = done >= 0
+                out, stops = done[left].tolist(), np.cumsum(left.sum(1)).tolist()
+                start = 0
+                for (w, _), stop in zip(part, stops, strict=True):
+                    self.words.put(w, self.shown(out[start:stop]))
+                    start = stop
+
+    def pieces(self, text: str) -> list[str]:
+        """Python's white space is Unicode's and four separators besides; texts with those are only cut at spaces."""
+        return text.split(" ") if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
     def normalize(self, s: str) -> str:
         if not s.isascii():
             s = unicodedata.normalize("NFC", s).replace("Σ", "σ")  # letter by letter: no final sigma
         return s.lower()
 
-    def unit(self, u: str) -> tuple[str, str]:
-        """Ids and tokens of a piece without spaces, both joined by a space."""
-        ids: list[int] = []
+    def parts(self, u: str) -> list[str | int]:
+        """Words, and ids of special strings, in a piece without spaces."""
+        if self.plain and (u.isascii() or max(u) < "\u0100"):  # composed already, and every lower-case form a letter
+            if u.isalpha():
+                return [u.lower()]
+            if u[:-1].isalpha() and u[-1] in PUNCTUATION:
+                return [u[:-1].lower(), u[-1]]
+        out: list[str | int] = []
         for k, part in enumerate(self.split_added(u)):
             if k % 2:
-                ids.append(self.added[part])
+                out.append(self.added[part])
             elif part:
-                for w in self.split_words(self.normalize(part)):
-                    ids += self.words[w]
-        return " ".join(map(str, ids)), " ".join(map(self.names.__getitem__, ids))
+                out += self.split_words(self.normalize(part))
+        return out
 
-    def encode_joined(self, text: str) -> tuple[str, str, int]:
-        """Decimal ids and tokens of a text, each joined by a space, and how many there are.
+    def value(self, parts: list[str | int]) -> tuple[str, str]:
+        words = self.words
+        if len(parts) == 1 and isinstance(parts[0], str):
+            return words[parts[0]]
+        found = [v for p in parts if (v := words[p] if isinstance(p, str) else self.shown([p]))[0]]
+        return " ".join([v[0] for v in found]), " ".join([v[1] for v in found])
 
-        White space separates words and is dropped, so pieces between spaces are independent.
+    def unit(self, u: str) -> tuple[str, str]:
+        """Ids and tokens of a piece without spaces, both joined by a space."""
+        return self.value(self.parts(u))
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, str, int]]:
+        """Decimal ids and tokens of each text, each joined by a space, and how many there are.
+
+        White space separates words and is dropped, so pieces between spaces are independent.  Texts are taken in groups of
+        about CHUNK characters, whose new words are merged together.
         """
-        units = self.units
-        found = [v for u in text.split(" ") if (v := units[u])[0]]
-        if not found:
-            return "", "", 0
-        ids = " ".join([v[0] for v in found])
-        return ids, " ".join([v[1] for v in found]), ids.count(" ") + 1
+        at = 0
+        while at < len(texts):
+            pieces, chars = [], 0
+            while at < len(texts) and (not pieces or chars + len(texts[at]) <= CHUNK):
+                chars += len(texts[at])
+                pieces.append(self.pieces(texts[at]))
+                at += 1
+            units, words = self.units, self.words
+            new = {u: self.parts(u) for u in set().union(*pieces).difference(units, units.old)}
+            self.fill_words({p for parts in new.values() for p in parts if isinstance(p, str)}.difference(words, words.old))
+            for u, parts in new.items():
+                units.put(u, self.value(parts))
+            for piece in pieces:
+                found = [v for u in piece if (v := units[u])[0]]
+                ids = " ".join([v[0] for v in found])
+                yield ids, " ".join([v[1] for v in found]), ids.count(" ") + 1 if found else 0
 
     def encode(self, text: str) -> list[int]:
-        return [int(x) for x in self.encode_joined(text)[0].split()]
+        return [int(x) for x in next(self.encode_all([text]))[0].split()]
 
     def decode(self, ids: list[int]) -> str:
         """As a file without a decoder is decoded: tokens joined by a space; unknown ids are left out."""
@@ -173,7 +306,10 @@ class WordBPE:
 
 @lru_cache(2)
 def loaded(path: str) -> WordBPE:
-    return WordBPE(path)
+    out = WordBPE(path)
+    gc.freeze()  # nothing here forms cycles, and each full collection walks through all that is cached
+    gc.set_threshold(100_000, 50, 1000)
+    return out
 
 
 def default_path() -> str:
@@ -186,8 +322,12 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
     """(key, ids array<int>) for each document.  path is resolved on the workers when None."""
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-        t = loaded(path or default_path())
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array([t.encode(x) for x in texts(b.column(1))], pa.list_(pa.int32()))], [key, "ids"])
+        flat, ends = [np.empty(0, np.int32)], [0]
+        for ids, _, count in loaded(path or default_path()).encode_all(texts(b.column(1))):
+            flat.append(np.fromstring(ids, np.int32, sep=" "))
+            ends.append(ends[-1] + count)
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
+        return pa.RecordBatch.from_arrays([b.column(0), lists], [key, "ids"])
 
     return map_batches(docs.select(key, text), fn, f"`{key}` {dict(docs.dtypes)[key]}, ids array<int>")
 
@@ -208,8 +348,7 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
         t = loaded(path or default_path())
         n, ids, plain = [], [], []
-        for x in texts(b.column(1)):
-            joined, tokens, count = t.encode_joined(x)
+        for joined, tokens, count in t.encode_all(texts(b.column(1))):
             n.append(count)
             ids.append(hashlib.sha256(joined.encode()).hexdigest())
             plain.append(hashlib.sha256(tokens.encode()).hexdigest())

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,21 @@ def test_merge_against_scan():
             i = best[1]
             want[i : i + 2] = [pairs[want[i], want[i + 1]][1]]
         assert wordbpe.merge(s, pairs) == want, names
+        size = 64
+        rows = np.full((2, size + 2), -1, np.int64)
+        rows[:, : len(s)] = s
+        rows[1, 1:] = -1
+        both = wordbpe.merge_rows(rows, size, wordbpe.PairTable(pairs, 32))
+        assert both[0][both[0] >= 0].tolist() == want and both[1][both[1] >= 0].tolist() == s[:1]
+
+
+def test_cache_turns_over():
+    """Results stay right while words and pieces are forgotten, and across groups of texts."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    many = [x + f" w{i} {i}ab, Été{i % 7}." for i, x in enumerate(ODD * 20)]
+    got = [[int(i) for i in ids.split()] for ids, _, _ in wordbpe.WordBPE(path, cache=5).encode_all(many)]
+    assert got == [t.encode(x, add_special_tokens=False).ids for x in many]
 
 
 def counts(text):
