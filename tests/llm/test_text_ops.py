@@ -131,7 +131,17 @@ def test_decontamination(spark, sf, documents, odd):
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     got = {r[0]: tuple(r)[1:] for r in decontam.query(spark, sf).collect()}
     assert got == {i: decontam.brute(t, items) for i, t in documents}
-    assert any(v[4] for v in got.values())
+    assert any(v[1] for v in got.values())
+
+
+def test_decontamination_verdict(spark, tmp_path):
+    """Two items make a document contaminated, one item found twice does not."""
+    a, b = "one two three four five six seven eight", "red orange yellow green blue indigo violet black"
+    docs = [(1, f"{a} and {b}"), (2, f"{a} and {a}"), (3, b[4:]), (4, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, a), (8, b)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r.doc_id: (r.n_items, r.contaminated) for r in decontam.query(spark, str(tmp_path)).collect()}
+    assert got == {1: (2, True), 2: (1, False), 3: (0, False), 4: (0, False)}
 
 
 def test_decontamination_cases(spark, monkeypatch):
