@@ -1,4 +1,4 @@
-"""The training-data pipeline: quality bands, SimHash near-dedup, decontamination, PII, BPE.
+"""The training-data pipeline: quality bands, near-dedup, decontamination, PII, BPE.
 
 Each stage takes (spark, docs, sf_dir) and gives a frame that is written as Parquet and read again as the next one's docs.
 All but the last return the columns of docs as they were.  Nulls: a null text fails the quality rules and goes with stage one; a null id
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import decontam, pii, quality, simhash, wordbpe
+from quire.llm import decontam, pii, quality, similar, wordbpe
 from quire.llm.common import stage, table
 
 
@@ -19,8 +19,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: one document of each group stays, that of smallest id."""
-    return simhash.one_each(docs)
+    """One document of each group of near copies (Jaccard of 5-word shingles >= 0.8) stays, that of smallest id."""
+    return similar.one_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
