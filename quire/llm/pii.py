@@ -3,8 +3,10 @@
 Base kinds are found by pattern.  Each finding's value is a protected entity; the words around it are its context.  Over the
 corpus, with N documents, df(t) documents with the word t, df(e) with the entity e and co(e, t) with t in a context of e,
     PMI(e; t) = log2(co * N / (df(e) * df(t)))   and   IC(e) = log2(N / df(e))
-say how many of the entity's bits a term gives away.  A term that gives away a share of `disclosure` or more, seen in `least`
-documents or more, is a finding of kind `term` wherever it stands in a context of that entity.  sanitize() puts a
+say how many of the entity's bits a term gives away.  A term that gives away a share of `disclosure` or more is a finding of kind
+`term` wherever it stands in a context of that entity.  No pair is too rare to be judged: where co is under `least`, so that chance may
+have made PMI high, the share is of the pair's own bits, log2(N / co) >= IC(e).  For an entity in one document that is IC(e)
+itself, for a term that stands by a frequent entity once it is far more.  sanitize() puts a
 general label in the place of entities and removes disclosing terms.
 
 Counts are of documents (rows), over the whole table.  Null text is empty.  Repeated rows each count and each get their
@@ -159,15 +161,17 @@ def scan(rows: DataFrame, ident: list[str], text: str) -> DataFrame:
 
 def disclosing(scanned: DataFrame, least: int, disclosure: float) -> tuple[DataFrame, list[str]]:
     """(entity, term) pairs over the threshold, from a staged scan(); and their path."""
-    counts, a = stage(scanned.where("n IS NOT NULL").groupBy("a", "b").agg(F.sum("n").alias("n")).where(f"n >= {least} OR (a = '' AND b = '')"), "pii-counts")
+    counts, a = stage(scanned.where("n IS NOT NULL AND (a <> '' OR b = '')").groupBy("a", "b").agg(F.sum("n").alias("n")), "pii-counts")
     total = counts.where("a = '' AND b = ''").select("n").first()
     n = float(total.n if total else 1)
     pairs = counts.where("a <> '' AND b <> ''").select(F.col("a").alias("entity"), F.col("b").alias("term"), F.col("n").alias("co"))
     entities = counts.where("a <> '' AND b = ''").select(F.col("a").alias("entity"), F.col("n").alias("df_e"))
-    terms = counts.where("a = '' AND b <> ''").select(F.col("b").alias("term"), F.col("n").alias("df_t"))
+    near, c = stage(pairs.select(F.col("term").alias("b")).distinct(), "pii-near")
+    terms = scanned.where("a = '' AND b <> ''").groupBy("b").agg(F.sum("n").alias("df_t")).join(near, "b", "left_semi").withColumnRenamed("b", "term")
     pmi, ic = F.log2(F.col("co") * F.lit(n) / (F.col("df_e") * F.col("df_t"))), F.log2(F.lit(n) / F.col("df_e"))
-    out, b = stage(pairs.join(entities, "entity").join(terms, "term").where((ic > 0) & (pmi >= disclosure * ic)).select("entity", "term"), "pii-terms")
-    drop(scanned.sparkSession, a)
+    bits = F.when(F.col("co") >= least, ic).otherwise(F.log2(F.lit(n) / F.col("co")))
+    out, b = stage(pairs.join(entities, "entity").join(terms, "term").where((ic > 0) & (pmi >= disclosure * bits)).select("entity", "term"), "pii-terms")
+    drop(scanned.sparkSession, a, c)
     return out, [b]
 
 
