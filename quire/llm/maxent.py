@@ -1,7 +1,8 @@
 """Operator 7, language-model scoring with a hashed maximum-entropy model and class-factored softmax.
 
 P(token | history) = P(class | history) * P(token | class).  The class is predicted by a softmax whose logits sum
-hashed feature weights: a bias, the previous word (n-gram), the word two back (skip), and the pair of both.
+hashed feature weights: a bias, the previous word (n-gram), the word two back (skip), the pair of both, and the word
+three back (skip).
 Classes group the vocabulary by the spelling of its words (k-means over character trigrams) and then by frequency; words below the TOP most frequent, and unknown ones, fall in the tail class of the
 group that their last two bytes point to.  P(token | class) is the smoothed relative frequency of the training tokens.
 
@@ -35,9 +36,9 @@ from quire.llm.common import bound_batches, drop, map_batches, stage, table, utf
 from quire.llm.simhash import LOWER
 
 #: Words with a place of their own, spelling groups, and frequency bins within a group.
-TOP, GROUPS, BINS = 16_384, 8, 4
-#: Hash buckets (a power of two) of each feature kind, kinds (previous, skip 2, pair), rounds, tokens in a minibatch, rate.
-BUCKETS, KINDS, ROUNDS, BATCH, RATE = 4096, 3, 2, 8192, 0.2
+TOP, GROUPS, BINS = 16_384, 8, 6
+#: Hash buckets (a power of two) of each feature kind, kinds (previous, skip 2, pair, skip 3), rounds, tokens in a minibatch, rate.
+BUCKETS, KINDS, ROUNDS, BATCH, RATE = 4096, 4, 2, 8192, 0.2
 FOLDS, HELD_OUT = 5, 1
 DIMS = 256
 #: Distinct words whose counts a task holds, and rows of weights in a block of the averaging shuffle.
@@ -209,10 +210,10 @@ def coder(shared) -> Coder:
 
 def features(code: np.ndarray, n_codes: int) -> np.ndarray:
     """(KINDS, tokens) rows of the weight table that are active for each token of one text; n_codes stands for its beginning."""
-    back = np.full((2, len(code)), n_codes, np.int64)
-    for k in range(2):
+    back = np.full((3, len(code)), n_codes, np.int64)
+    for k in range(3):
         back[k, k + 1 :] = code[: len(code) - k - 1]
-    mixed = np.stack([back[0], back[1] + 1_000_003, back[0] * 2_654_435_761 + back[1] * 40_503 + 7])
+    mixed = np.stack([back[0], back[1] + 1_000_003, back[0] * 2_654_435_761 + back[1] * 40_503 + 7, back[2] + 5_000_011])
     with np.errstate(over="ignore"):
         h = mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return ((h >> np.uint64(40)) & np.uint64(BUCKETS - 1)).astype(np.int64) + np.arange(0, KINDS * BUCKETS, BUCKETS)[:, None]
