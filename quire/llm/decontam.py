@@ -6,7 +6,8 @@ pattern, else the least distance from the block to a pattern's end.  Where the s
 lists the patterns, and a direct comparison of all words confirms.  Patterns of one word have B = 1.
 
 Null has no words; an item without words has no window, so it never occurs.  Empty texts and tables give zero
-counts or no rows.  Repeated items (equal item_id) count once; equal texts under two ids count as two items.  Columns
+counts or no rows.  Repeated items (equal item_id) count once; equal texts under two ids count as two items.  Items
+without an id can't be counted and are left out: their windows are neither hits nor contaminate.  Columns
 besides ids and texts are not read, and clean() returns them untouched.
 
 The benchmark is a stated query set: its patterns are packed into blocks of at most BLOCK windows, each broadcast on
