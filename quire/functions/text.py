@@ -69,7 +69,7 @@ def direction(source: Column, target: Column) -> Column:
 
 def mime_of(head: Column) -> Column:
     """Type by leading bytes of a file or text."""
-    lead = F.lower(F.ltrim(F.substring(head.cast("string"), 1, 64)))
+    lead = F.lower(F.substring(F.ltrim(head.cast("string")), 1, 64))
     raw = F.hex(F.substring(head.cast("binary"), 1, 8))
     return (
         F.when(F.startswith(raw, F.lit("25504446")), "application/pdf")
