@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def first_accepted(log: DataFrame, page: str = "page_id", ok: str = "ok") -> DataFrame:
-    return log.where(F.col(ok)).dropDuplicates([page])
+def first_accepted(log: DataFrame, page: str = "page_id", ok: str = "ok", at: str = "created_at", delay: str = "1 day") -> DataFrame:
+    """The first acceptance of each page; a page is remembered for `delay` of the log's own time, so the state has a bound."""
+    return log.where(F.col(ok)).withWatermark(at, delay).dropDuplicatesWithinWatermark([page])
 
 
 def quota_streaks(log: DataFrame, key: str, seq: str, quota: str, stop: int = 3) -> DataFrame:
