@@ -1,31 +1,35 @@
 """Operator 10, personal data: patterns, then information-theoretic sanitisation of what stands around them.
 
-Base kinds are found by pattern.  Each finding's value is a protected entity; the words around it are its context.  Over the
-corpus, with N documents, df(t) documents with the word t, df(e) with the entity e and co(e, t) with t in a context of e,
+Base kinds are found by pattern.  Each finding's value is a protected entity; the SIDE words next to it on each side, findings left out, are
+its context.  Over the corpus, with N documents, df(t) documents with the word t, df(e) with the entity e and co(e, t) with t in a context of e,
     PMI(e; t) = log2(co * N / (df(e) * df(t)))   and   IC(e) = log2(N / df(e))
-say how many of the entity's bits a term gives away.  A term that gives away a share of `disclosure` or more is a finding of kind
-`term` wherever it stands in a context of that entity.  No pair is too rare to be judged: where co is under `least`, so that chance may
+say how many of the entity's bits a term gives away.  A term that gives away a share of `disclosure` or more of an entity of a document is a
+finding of kind `term` wherever it stands in that document; documents without the entity keep it, as nothing there or
+in what is left of the others ties it to the entity.  No pair is too rare to be judged: where co is under `least`, so that chance may
 have made PMI high, the share is of the pair's own bits, log2(N / co) >= IC(e).  For an entity in one document that is IC(e)
 itself, for a term that stands by a frequent entity once it is far more.  sanitize() puts a
 general label in the place of entities and removes disclosing terms.
 
+A document is searched twice, in time linear in its length and findings: once for counts, once with its own terms, which the task that reads
+it takes from a side file of the rows it scans.  So no text is shuffled, and a document's row of terms is all that is gathered of it.
+
 Counts are of documents (rows), over the whole table.  Null text is empty.  Repeated rows each count and each get their
 findings; an entity in a third of all rows is only a key whose partial sums are merged, and the joins are between staged
 scans, which adaptive execution splits.  Empty tables give empty results.  Columns besides the id and
-the text are not read by find(), and sanitize() returns them untouched.
+the text are not read by find(), and sanitize() returns them untouched, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import ROW_ID, bound_batches, drop, map_batches, stage, table, texts, with_row_id
+from quire.llm.common import bound_batches, drop, map_batches, named, side_values, stage, table, texts, with_row_id, write_side
 from quire.llm.decontam import FOLD
 
 # The base kinds in their order, and the labels that stand for them.
@@ -37,11 +41,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile("[0-9A-Za-z\x80-\U0010ffff]+")
-#: Words taken on either side of a finding, and the characters searched for them.
-SIDE, REACH = 6, 160
+#: Words on either side of a finding that are its context.
+SIDE = 6
 LEAST, DISCLOSURE = 5, 0.8
-#: Distinct words whose counts a task holds before it hands them on.
-HELD = 300_000
+#: Distinct words whose counts a task holds before it hands them on; pairs of a document in one row.
+HELD, PAIRS = 300_000, 20_000
 
 
 def emails(s: str) -> list[tuple[int, int]]:
@@ -91,40 +95,51 @@ def term(raw: bytes) -> bool:
     return len(raw) > 1 and not raw.isdigit()
 
 
-def contexts(s: str, spans: list[tuple[int, int, int, str]]) -> list[dict]:
-    """Terms around each finding: the nearest SIDE words on each side, whole, and in no finding themselves."""
-    out = []
+def words_outside(s: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[int, int]]:
+    """(start, end) of the words that no finding touches."""
+    out, k, past = [], 0, 0  # past: the furthest end of the findings that begin before
+    for m in TERM.finditer(s):
+        b, e = m.span()
+        while k < len(spans) and spans[k][0] < e:
+            past = max(past, spans[k][2])
+            k += 1
+        if past <= b:
+            out.append((b, e))
+    return out
+
+
+def folded(s: str) -> bytes:
+    return s.encode().translate(FOLD)
+
+
+def contexts(s: str, spans: list[tuple[int, int, int, str]]) -> set[tuple[str, str]]:
+    """(entity, term) pairs of a text, from the nearest SIDE words on each side of each finding."""
+    places = words_outside(s, spans)
+    starts = [b for b, _ in places]
+    own = [folded(s[b:e]) for b, e in places]
+    out = set()
     for a, _, z, entity in spans:
-        lo, hi = max(0, a - REACH), min(len(s), z + REACH)
-        left = [(m.start() + lo, m.end() + lo) for m in TERM.finditer(s[lo:a]) if m.start() or not lo or not TERM.match(s[lo - 1])]
-        right = [(m.start() + z, m.end() + z) for m in TERM.finditer(s[z:hi]) if m.end() + z < hi or hi == len(s) or not TERM.match(s[hi])]
-        near = [x for x in left if x[1] < a or not TERM.match(s[a])][-SIDE:] + [x for x in right if x[0] > z or not TERM.match(s[z - 1])][:SIDE]
-        for b, e in near:
-            word = s[b:e].encode().translate(FOLD)
-            if term(word) and not any(b < z2 and a2 < e for a2, _, z2, _ in spans):
-                out.append({"entity": entity, "term": word.decode(), "start": b, "end": e})
+        i, j = bisect_left(starts, a), bisect_left(starts, z)
+        out.update((entity, w.decode()) for w in (*own[max(0, i - SIDE) : i], *own[j : j + SIDE]) if term(w))
     return out
 
 
-SCAN = pa.schema(
-    [
-        ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
-        ("contexts", pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))),
-        ("a", pa.string()),
-        ("b", pa.string()),
-        ("n", pa.int64()),
-    ]
-)
-SCAN_SQL = "spans array<struct<kind:string,start:long,end:long>>, contexts array<struct<entity:string,term:string,start:long,end:long>>, a string, b string, n long"
+def term_spans(s: str, spans: list[tuple[int, int, int, str]], terms: set[str]) -> list[tuple[int, int]]:
+    """Where these terms stand in the text, outside its findings."""
+    return [(b, e) for b, e in words_outside(s, spans) if folded(s[b:e]).decode() in terms]
+
+
+PAIR = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
+SCAN = pa.schema([("file", pa.string()), ("row", pa.int64()), ("pairs", PAIR), ("a", pa.string()), ("b", pa.string()), ("n", pa.int64())])
+SCAN_SQL = "file string, row long, pairs array<struct<entity:string,term:string>>, a string, b string, n long"
 
 
 def scan(rows: DataFrame, ident: list[str], text: str) -> DataFrame:
-    """One pass over the texts: a row for each document (its findings and contexts), and counts (a, b, n).
+    """One pass over the texts: the (entity, term) pairs of each document that has any (file, row, pairs), and counts (a, b, n).
 
     Counts: ('', '') documents; (entity, '') documents with it; ('', term) documents with it; (entity, term) documents with
     the term in a context of the entity.  A task sums them up before it hands them on.
     """
-    kinds = dict(rows.dtypes)
     bound_batches(rows.sparkSession)
 
     def run(batches):
@@ -134,29 +149,39 @@ def scan(rows: DataFrame, ident: list[str], text: str) -> DataFrame:
             flat = [("", "", docs)] + [("", w.decode(), n) for w, n in df.items() if term(w)] + [(a, b, n) for (a, b), n in pairs.items()]
             for at in range(0, len(flat), 50_000):
                 a, b, n = zip(*flat[at : at + 50_000], strict=True)
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(a), t) for t in kinds_of), pa.nulls(len(a), SCAN.field(0).type), pa.nulls(len(a), SCAN.field(1).type), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())], names)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(a), t) for t in SCAN.types[:3]), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())], SCAN.names)
 
-        names, kinds_of = [*ident, *SCAN.names], None
         for batch in batches:
-            kinds_of = [c.type for c in batch.columns[:-1]]
-            spans, ctx = [], []
-            for s in texts(batch.column(batch.num_columns - 1)):
-                found = base_spans(s)
-                near = contexts(s, found) if found else []
-                spans.append([{"kind": KINDS[k], "start": a, "end": z} for a, k, z, _ in found])
-                ctx.append(near)
+            held, size = [], 0
+            for s, file, row in zip(texts(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 docs += 1
-                df.update(set(s.encode().translate(FOLD).split()))
-                pairs.update({(e, "") for *_, e in found} | {(c["entity"], c["term"]) for c in near})
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(spans, SCAN.field(0).type), pa.array(ctx, SCAN.field(1).type), *(pa.nulls(n, t) for t in SCAN.types[2:])], names)
+                df.update(set(folded(s).split()))
+                found = base_spans(s)
+                if not found:
+                    continue
+                near = sorted(contexts(s, found))
+                pairs.update(near)
+                pairs.update({(e, "") for *_, e in found})
+                for at in range(0, len(near), PAIRS):
+                    part = [{"entity": e, "term": t} for e, t in near[at : at + PAIRS]]
+                    held.append((file, row, part))
+                    size += len(part)
+                    if size >= PAIRS:
+                        yield given(held)
+                        held, size = [], 0
+            if held:
+                yield given(held)
             if len(df) + len(pairs) > HELD:
                 yield from counts()
                 df, pairs, docs = Counter(), Counter(), 0
         if docs:
             yield from counts()
 
-    return rows.select(*ident, text).mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in ident) + ", " + SCAN_SQL)
+    def given(held):
+        n = len(held)
+        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*held, strict=True), SCAN.types, strict=False)), *(pa.nulls(n, t) for t in SCAN.types[3:])], SCAN.names)
+
+    return rows.select(named(text), *ident).mapInArrow(run, SCAN_SQL)
 
 
 def disclosing(scanned: DataFrame, least: int, disclosure: float) -> tuple[DataFrame, list[str]]:
@@ -170,56 +195,93 @@ def disclosing(scanned: DataFrame, least: int, disclosure: float) -> tuple[DataF
     terms = scanned.where("a = '' AND b <> ''").groupBy("b").agg(F.sum("n").alias("df_t")).join(near, "b", "left_semi").withColumnRenamed("b", "term")
     pmi, ic = F.log2(F.col("co") * F.lit(n) / (F.col("df_e") * F.col("df_t"))), F.log2(F.lit(n) / F.col("df_e"))
     bits = F.when(F.col("co") >= least, ic).otherwise(F.log2(F.lit(n) / F.col("co")))
-    out, b = stage(pairs.join(entities, "entity").join(terms, "term").where((ic > 0) & (pmi >= disclosure * bits)).select("entity", "term"), "pii-terms")
+    out, b = stage(pairs.join(entities, "entity").join(terms, "term").where((ic > 0) & (pmi >= disclosure * bits - 1e-9)).select("entity", "term"), "pii-terms")
     drop(scanned.sparkSession, a, c)
     return out, [b]
 
 
+def side_terms(rows: DataFrame, ident: list[str], text: str, least: int, disclosure: float) -> str:
+    """Side files of the disclosing terms of each document that has any."""
+    spark = rows.sparkSession
+    scanned, a = stage(scan(rows, ident, text), "pii-scan")
+    pairs, b = disclosing(scanned, least, disclosure)
+    near = scanned.where("pairs IS NOT NULL").select("file", "row", F.explode("pairs").alias("c")).select("file", "row", "c.entity", "c.term")
+    terms, c = stage(near.join(pairs, ["entity", "term"]).groupBy("file", "row").agg(F.collect_set("term").alias("value")), "pii-own")
+    root = write_side(terms, "pii-side")
+    drop(spark, a, *b, c)
+    return root
+
+
+def searched(root: str, b: pa.RecordBatch, at: int):
+    """(text, base findings, term spans) of each row of a batch with the columns text, file and number from `at` on; null texts are None."""
+    terms: dict[int, set[str]] = {}
+    for places, value in side_values(root, b.column(at + 1), b.column(at + 2))[1]:
+        terms.update(zip(places.tolist(), map(set, value.to_pylist()), strict=True))
+    for i, s in enumerate(b.column(at).to_pylist()):
+        found = base_spans(s) if s else []
+        yield s, found, term_spans(s, found, terms[i]) if i in terms else []
+
+
+SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+SPANS_SQL = "array<struct<kind:string,start:long,end:long>>"
+
+
 def find(docs: DataFrame, ident: list[str], text: str = "text", least: int = LEAST, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(ident…, spans, terms) of each document: base findings, and term findings, as arrays of (kind, start, end).
+    """(ident…, spans, terms) of each document: base findings, and term findings, as arrays of (kind, start, end); ident may repeat among rows."""
+    rows, place, _ = with_row_id(docs.select(*map(named, [*ident, text])))
+    root = side_terms(rows, place, text, least, disclosure)
+    n = len(ident)
 
-    ident may repeat among rows: rows are told apart by a number that is written down with them.
-    """
-    scanned, _ = stage(scan(docs, ident, text).withColumn("_row", F.monotonically_increasing_id()), "pii-scan")
-    pairs, _ = disclosing(scanned, least, disclosure)
-    near = scanned.where("size(contexts) > 0").select("_row", F.explode("contexts").alias("c")).select("_row", F.col("c.entity").alias("entity"), F.col("c.term").alias("term"), F.col("c.start").alias("start"), F.col("c.end").alias("end"))
-    found = near.join(pairs, ["entity", "term"]).groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("found"))
-    terms = F.expr("coalesce(transform(found, x -> named_struct('kind', 'term', 'start', x.start, 'end', x.end)), array())")
-    return scanned.where("n IS NULL").join(found, "_row", "left").select(*ident, "spans", terms.alias("terms"))
+    def fn(b: pa.RecordBatch) -> pa.RecordBatch:
+        spans, terms = [], []
+        for _, found, own in searched(root, b, n):
+            spans.append([(KINDS[k], a, z) for a, k, z, _ in found])
+            terms.append([("term", a, z) for a, z in own])
+        return pa.RecordBatch.from_arrays([*b.columns[:n], structs(spans), structs(terms)], [*ident, "spans", "terms"])
+
+    kinds = dict(docs.dtypes)
+    return map_batches(rows.select(*map(named, [*ident, text]), *place), fn, ", ".join(f"{named(c)} {kinds[c]}" for c in ident) + f", spans {SPANS_SQL}, terms {SPANS_SQL}")
+
+
+def structs(lists: list[list[tuple[str, int, int]]]) -> pa.Array:
+    flat = [x for xs in lists for x in xs]
+    kind, start, end = zip(*flat, strict=True) if flat else ((), (), ())
+    ends = [0]
+    for xs in lists:
+        ends.append(ends[-1] + len(xs))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(kind, pa.string()), pa.array(start, pa.int64()), pa.array(end, pa.int64())], ["kind", "start", "end"]))
 
 
 def joined(spans) -> F.Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def replace(s: str, spans: list[dict]) -> str:
-    """The text with labels in place of findings; of overlapping findings the first, and with equal starts the first kind, counts."""
-    order = {k: i for i, k in enumerate((*KINDS, "term"))}
+def replace(s: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with labels in place of findings (start, kind's number, end); what a later one reaches beyond an earlier one has its own label."""
     out, at = [], 0
-    for x in sorted(spans, key=lambda x: (x["start"], order[x["kind"]])):
-        if x["end"] <= at:
-            continue
-        out += [s[at : x["start"]], LABELS[x["kind"]]]
-        at = x["end"]
+    for a, k, z in sorted(spans):
+        if z > at:
+            out += [s[at:a], LABELS[(*KINDS, "term")[k]]]
+            at = z
     return "".join([*out, s[at:]])
 
 
 def sanitize(docs: DataFrame, text: str = "text", least: int = LEAST, disclosure: float = DISCLOSURE) -> DataFrame:
     """docs with findings generalised (entities) or removed (terms) in the text; all other columns and null texts as they were."""
-    rows, _ = with_row_id(docs)
-    found = find(rows, list(ROW_ID), text, least, disclosure).select(*ROW_ID, F.concat("spans", "terms").alias("_spans")).where("size(_spans) > 0")
-    held, _ = stage(found, "pii-spans")
-    whole = rows.join(held, list(ROW_ID), "left")
-    whole = whole.select(*(rows[c] for c in docs.columns), held["_spans"].alias("_spans"))
-    names, where = docs.columns, docs.columns.index(text)
+    rows, place, _ = with_row_id(docs)
+    root = side_terms(rows, place, text, least, disclosure)
+    names, n = docs.columns, len(docs.columns)
+    where = names.index(text)
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-        new = [replace(s, x) if x else s for s, x in zip(b.column(where).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
-        columns = list(b.columns[:-1])
+        term_kind = len(KINDS)
+        own = pa.RecordBatch.from_arrays([b.column(where), b.column(n), b.column(n + 1)], ["text", "file", "row"])
+        new = [replace(s, [(a, k, z) for a, k, z, _ in found] + [(a, term_kind, z) for a, z in terms]) if found else s for s, found, terms in searched(root, own, 0)]
+        columns = list(b.columns[:n])
         columns[where] = pa.array(new, b.column(where).type)
         return pa.RecordBatch.from_arrays(columns, names)
 
-    return map_batches(whole, fn, docs.schema)
+    return map_batches(rows.select(*map(named, names), *place), fn, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,21 +290,3 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.expr(f"array_sort(concat(spans, terms), (x, y) -> CASE WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1 ELSE int(sign({place.format('x')} - {place.format('y')})) END)")
     count = {k: F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in KINDS}
     return found.select("doc_id", *count.values(), F.sha2(joined(F.col("spans")), 256).alias("base_sha256"), joined(order).alias("spans"), F.size("terms").cast("long").alias("n_terms"))
-
-
-def brute_base(s: str | None) -> list[tuple[str, int, int]]:
-    """Base findings by the patterns as they are stated, for tests."""
-    s = s or ""
-    out = []
-    stated = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
-    for k, pattern in enumerate(stated):
-        for m in re.finditer(pattern, s):
-            digits = re.sub("[^0-9]", "", m[0])
-            if k == 1 and any(int(p) > 255 for p in m[0].split(".")) or k == 2 and not (14 <= len(digits) <= 19 and luhn(digits)) or k == 3 and not 10 <= len(digits) <= 15:
-                continue
-            out.append((m.start(), k, m.end()))
-    return [(KINDS[k], a, z) for a, k, z in sorted(out)]
-
-
-def digest(spans: list[tuple[str, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{k}:{a}:{z}" for k, a, z in spans).encode()).hexdigest()

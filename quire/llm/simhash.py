@@ -8,8 +8,8 @@ members are filed again under all 2016 pairs of wiped bits, where equal signatur
 so the result is exact at any size.
 
 Null and empty texts have fingerprint zero, linked like any other.  Rows without an id count for links but not for the
-smallest id (a group of such rows alone has a null component).  Repeated rows all appear.  An empty table
-gives an empty result.  Columns besides the id and the text are not read by groups(); one_each() returns them untouched.
+smallest id (a group of such rows alone has a null component).  Repeated rows all appear.  A very long text is hashed in
+one pass, with memory in proportion to itself.  An empty table gives an empty result.  Columns besides the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import ROW_ID, drop, map_batches, stage, table, utf8, with_row_id
+from quire.llm.common import drop, map_batches, stage, table, utf8, wide_batches
 from quire.llm.components import components
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -40,6 +40,11 @@ def fingerprint(b: bytes) -> int:
     k = min(SHINGLE, len(words))
     xxh = xxhash.xxh64_intdigest
     h = np.array([xxh(joined[a:e], SEED) for a, e in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
+    return majority(h)
+
+
+def majority(h: np.ndarray) -> int:
+    """The number whose bits are set in over half the hashes."""
     votes = np.zeros(64, np.int64)
     for at in range(0, len(h), 1 << 15):
         votes += np.unpackbits(h[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -118,9 +123,8 @@ def links(distinct: DataFrame) -> tuple[DataFrame, list[str]]:
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
-    found, a = stage(filed.repartition(F.col("key")).sortWithinPartitions("key", "fp").mapInArrow(compare, "u long, v long").distinct(), "links")
+    with wide_batches(spark):
+        found, a = stage(filed.repartition(F.col("key")).sortWithinPartitions("key", "fp").mapInArrow(compare, "u long, v long").distinct(), "links")
     crowded = found.where("v IS NULL").select("u")
     edges, paths = found.where("v IS NOT NULL"), [a]
     if not crowded.isEmpty():
@@ -131,16 +135,16 @@ def links(distinct: DataFrame) -> tuple[DataFrame, list[str]]:
 
         pairs = F.expr("flatten(transform(sequence(0, 62), i -> transform(sequence(i + 1, 63), j -> i * 64 + j)))")
         wiped = crowded.select("u", F.explode(pairs).alias("n")).select(F.expr("u & ~shiftleft(1L, CAST(n / 64 AS INT)) & ~shiftleft(1L, n % 64)").alias("key"), F.col("n").cast("long").alias("n"), "u")
-        more, b = stage(wiped.repartition("key", "n").sortWithinPartitions("key", "n", "u").mapInArrow(equal, "u long, v long").distinct(), "links-crowded")
+        with wide_batches(spark):
+            more, b = stage(wiped.repartition("key", "n").sortWithinPartitions("key", "n", "u").mapInArrow(equal, "u long, v long").distinct(), "links-crowded")
         edges, paths = edges.union(more), [a, b]
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     return edges, paths
 
 
-def labelled(prints: DataFrame, first) -> tuple[DataFrame, list[str]]:
-    """(fp, what `first` aggregates over the whole component) for each distinct fingerprint of a staged frame; and paths."""
+def labelled(prints: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """(fp, least) of a staged (key, fp): the smallest key of each fingerprint's component; and the path."""
     spark = prints.sparkSession
-    distinct, a = stage(prints.groupBy("fp").agg(first.alias("first")), "distinct")
+    distinct, a = stage(prints.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
     edges, paths = links(distinct.select("fp"))
     roots, b = components(edges)
     drop(spark, *paths)
@@ -148,27 +152,15 @@ def labelled(prints: DataFrame, first) -> tuple[DataFrame, list[str]]:
     least, d = stage(rooted.groupBy("root").agg(F.min("first").alias("least")), "least")
     out, e = stage(rooted.select("fp", "root").join(least, "root").select("fp", "least"), "labels")
     drop(spark, a, b, c, d)
-    return out, [e]
+    return out, e
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fingerprint, component_id) of each document."""
     prints, _ = stage(fingerprints(docs.select(F.col(key), F.col(text)), key, text=text), "prints")
-    labels, _ = labelled(prints, F.min(key))
+    labels, _ = labelled(prints, key)
     return prints.join(labels, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
 
 
-def one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each group, the one of smallest id (then by place), every column as it was."""
-    spark = docs.sparkSession
-    rows, _ = with_row_id(docs)
-    prints, a = stage(fingerprints(rows, key, *ROW_ID, text=text), "prints")
-    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), *ROW_ID)
-    labels, paths = labelled(prints, F.min(rank))
-    keep, b = stage(labels.select("least").distinct().select(*(F.col(f"least.{c}").alias(c) for c in ROW_ID)), "kept")
-    drop(spark, a, *paths)
-    return rows.join(keep, list(ROW_ID), "left_semi").select(*(rows[c] for c in docs.columns))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents"))

@@ -1,12 +1,19 @@
-"""Near copies by exact Jaccard similarity of word shingles, for the pipeline's near-dedup stage.
-
-Two texts are linked when their sets of shingles (XXH64 of SHINGLE words in a row, fewer in shorter texts) have a Jaccard
-similarity of SIMILARITY or more.  Candidates come from a prefix filter: with the n shingles of each set in order of hash, two linked
-sets meet in one of the first n - ceil(SIMILARITY * n) + 1, so no link is missed; sizes and places in the order rule out most others,
-and the rest are verified on the whole sets.  Meetings of over CAP sets first compare neighbours in size only; when those links are
-grouped, all pairs of such a meeting that lie in different groups follow, so the result is exact at any size.
-
-Texts of equal words are one set from the start.  Null and empty texts are alike.  A link needs no id.
+"""Operator 9 for texts: near copies by SimHash links, verified and completed to all pairs of Jaccard similarity >= 0.8.
+
+Two texts are linked when their sets of shingles (XXH64 of SHINGLE words in a row, fewer in shorter texts) have a Jaccard similarity of
+SIMILARITY or more.  One text of each class of linked ones stays.
+
+Fingerprints alone can't tell such pairs: at a similarity of 0.8 some ten of 64 bits differ, more than deletion variants reach.  So
+ 1. SimHash fingerprints of the sets meet by the deletion-variant signatures of simhash.links(), and sets of equal least hashes meet the
+    least set among them.  These pairs, a few for each set, are verified on the whole sets and grouped: copies are never expanded into pairs.
+ 2. A prefix filter finds every pair that may be linked and lies in different groups: with the n shingles of each set in one order, two
+    linked sets meet in one of the first n - ceil(SIMILARITY * n) + 1.  Sizes, and how often and where a pair meets, bound what it can
+    share and rule out most others; the rest are verified.  The most frequent shingles come last in the order, so passages that many texts share file nothing but such texts.
+The classes are those of comparing all pairs.  Meetings of over BLOCK sets are cut into blocks that are compared two by two.
+
+Texts of equal words are one set from the start; null and empty texts are alike.  A link needs no id: of a class the smallest id stays,
+ties and rows without an id by place.  A very long text needs memory in proportion to itself.  Repeated rows are one class.  An empty
+table gives an empty one.  All columns come back untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,15 +26,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import ROW_ID, drop, map_batches, stage, utf8, with_row_id
+from quire.llm import simhash
+from quire.llm.common import drop, forget, keep_side, map_batches, named, side_values, stage, utf8, wide_batches, with_row_id, write_side
 from quire.llm.components import components
 
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LOWER = simhash.LOWER
 SEED, SHINGLE, SIMILARITY = 42, 5, 0.8
-#: Sets of one meeting whose pairs are all compared at once.
-CAP = 24
-#: Pairs in an Arrow batch that is handed on.
-PAIRS = 50_000
+#: Share of a set, in order of hash, whose shingles are counted to find frequent ones; how often those occur, and how many are kept at most.
+COUNTED, OFTEN, FREQUENT = 0.35, 6, 1 << 20
+#: Bits in which the fingerprints of a likely pair differ at most; it spares verification and loses nothing, as all pairs come later.
+NEAR = 16
+#: Sets of one meeting that are compared at once, and pairs in a batch that is handed on.
+BLOCK, PAIRS = 1024, 50_000
 
 
 def shingles(b: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -43,6 +53,10 @@ def shingles(b: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.array([xxh(joined[a:e], SEED) for a, e in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64))
 
 
+def prefix(n: int, similarity: float) -> int:
+    return n - math.ceil(similarity * n - 1e-9) + 1
+
+
 def least_shared(n, m, similarity: float):
     """Elements that sets of n and m share at least if they are linked."""
     return np.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
@@ -53,158 +67,294 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
 
-def filed(sets: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(key, n, sid, at): each set under the hashes of its prefix, with the place in the order."""
+def possible(n, at, m, other, similarity: float):
+    """Whether sets of n <= m that meet at these places of their orders can be linked, if they haven't met before."""
+    return (n >= similarity * m - 1e-9) & (np.minimum(n - at, m - other) >= least_shared(n, m, similarity))
 
-    def fn(b: pa.RecordBatch) -> pa.Table:
-        keys, n, sid, at = [], [], [], []
-        for i, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True):
-            h = shingles(t, size)
-            if len(h):
-                first = len(h) - math.ceil(similarity * len(h) - 1e-9) + 1
-                keys.append(h[:first].view(np.int64))
-                n.append(np.full(first, len(h)))
-                sid.append(np.full(first, i))
-                at.append(np.arange(first))
-        flat = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-        return pa.table({"key": pa.array(flat(keys), pa.int64()), "n": pa.array(flat(n), pa.int32()), "sid": pa.array(flat(sid), pa.int64()), "at": pa.array(flat(at), pa.int32())})
 
-    return map_batches(sets.select("sid", "text"), fn, "key long, n int, sid long, at int")
+def flat(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
 
-def possible(n, at, m, other, similarity: float):
-    """Whether sets of n <= m that meet at these places of their orders can be linked, if they haven't met before."""
-    return (n >= similarity * m - 1e-9) & (np.minimum(n - at, m - other) >= least_shared(n, m, similarity))
+class Scan:
+    """The rows of a table of texts, told apart by file and number, of which one for each set carries the set's number (sid)."""
+
+    def __init__(self, rows: DataFrame, ident: list[str], text: str, places: DataFrame, size: int, similarity: float):
+        self.rows = rows.select(F.col(named(text)).alias("text"), *ident)
+        self.places, self.size, self.similarity, self.spark = places, size, similarity, rows.sparkSession
+
+    def shingled(self, values: DataFrame, name: str, fn, schema: str) -> tuple[DataFrame, str]:
+        """fn(values, sets) of the rows that have a value in (file, row, value), hashed where they are read; staged."""
+        root, size = write_side(values, name), self.size
+
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            of, kept = utf8(b.column(0)), []
+            _, pieces = side_values(root, b.column(1), b.column(2))
+            for at, value in pieces:
+                kept += zip(value.to_pylist(), (shingles(of[i], size) for i in at.tolist()), strict=True)
+            return fn(kept)
+
+        out, path = stage(map_batches(self.rows, run, schema), name)
+        drop(self.spark, root)
+        return out, path
+
+    def marks(self) -> tuple[DataFrame, str]:
+        """(kind, key, sid, fp): 0 the fingerprint, 1 the two least hashes, 2 (without a sid) the hashes that are counted."""
+
+        def fn(kept):
+            kind, key, sid, fp = [], [], [], []
+            for i, h in kept:
+                if len(h):
+                    k = math.ceil(COUNTED * len(h))
+                    low, own = h[:2].view(np.int64), np.array([simhash.majority(h)], np.uint64).view(np.int64)
+                    key += [own, low, h[:k].view(np.int64)]
+                    kind.append(np.repeat(np.array([0, 1, 2], np.int8), (1, len(low), k)))
+                    sid.append(np.repeat((i, -1), (1 + len(low), k)))
+                    fp.append(np.repeat((own[0], 0), (1 + len(low), k)))
+            key, kind, sid = flat(key), flat(kind).astype(np.int8), flat(sid)
+            return pa.RecordBatch.from_arrays([pa.array(kind, pa.int8()), pa.array(key, pa.int64()), pa.array(sid, pa.int64(), mask=sid < 0), pa.array(flat(fp), pa.int64(), mask=sid < 0)], ["kind", "key", "sid", "fp"])
 
+        return self.shingled(self.places.withColumnRenamed("sid", "value"), "similar-marks", fn, "kind byte, key long, sid long, fp long")
 
-def meetings(batches):
-    """Columns of each group of two or more equal keys in a sorted stream, as one array (columns, members)."""
-    held = None
+    def filed(self, roots: DataFrame, frequent: np.ndarray) -> tuple[DataFrame, str]:
+        """(key, n, sid, at, root, hot): each set under the hashes of its prefix, with the place in the order and its group."""
+        shared, similarity = self.spark.sparkContext.broadcast(frequent), self.similarity
+
+        def fn(kept):
+            often, cols = shared.value, ([], [], [], [], [], [])
+            for v, h in kept:
+                if not len(h):
+                    continue
+                k = np.minimum(np.searchsorted(often, h), max(len(often) - 1, 0))
+                late = often[k] == h if len(often) else np.zeros(len(h), bool)
+                first = prefix(len(h), similarity)
+                head = np.argsort(late, kind="stable")[:first]
+                for c, x in zip(cols, (h[head].view(np.int64), np.full(first, len(h)), np.full(first, v["sid"]), np.arange(first), np.full(first, v["root"]), late[head]), strict=True):
+                    c.append(x)
+            return pa.RecordBatch.from_arrays([pa.array(flat(c), t) for c, t in zip(cols[:5], (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)] + [pa.array(flat(cols[5]).astype(bool))], ["key", "n", "sid", "at", "root", "hot"])
+
+        value = F.struct("sid", F.coalesce("root", "sid").alias("root")).alias("value")
+        values = self.places.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("file", "row", value)
+        return self.shingled(values, "similar-filed", fn, "key long, n int, sid long, at int, root long, hot boolean")
+
+    def compared(self, pairs: DataFrame, encode, judge) -> tuple[DataFrame, str]:
+        """The staged pairs (u, v) for which judge(codes of u, of v) holds; each set travels as encode(its hashes)."""
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
+        values = self.places.join(wanted, "sid").select("file", "row", F.col("sid").alias("value"))
+
+        def fn(kept):
+            return pa.RecordBatch.from_arrays([pa.array([i for i, _ in kept], pa.int64()), pa.array([encode(h) for _, h in kept], pa.binary())], ["sid", "h"])
+
+        sets, a = self.shingled(values, "similar-sets", fn, "sid long, h binary")
+        left, b = stage(pairs.join(sets.select(F.col("sid").alias("u"), F.col("h").alias("hu")), "u"), "similar-left")
+        both = left.join(sets.select(F.col("sid").alias("v"), F.col("h").alias("hv")), "v").select("u", "v", "hu", "hv")
+
+        def keep(b: pa.RecordBatch) -> pa.RecordBatch:
+            ok = [judge(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+        out, path = stage(map_batches(both, keep, "u long, v long"), "similar-edges")
+        drop(self.spark, a, b)
+        return out, path
+
+    def verified(self, pairs: DataFrame) -> tuple[DataFrame, str]:
+        """The linked ones of staged pairs (u, v): short codes rule most others out, whole sets decide."""
+        similarity = self.similarity
+        left, a = self.compared(pairs, code, lambda x, y: perhaps(x, y, similarity))
+        out, path = self.compared(left, lambda h: h.tobytes(), lambda x, y: alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), similarity))
+        drop(self.spark, a)
+        return out, path
+
+
+def code(h: np.ndarray) -> bytes:
+    """About a byte for each hash: differences of their leading bits, of which there are 8 to 16 patterns for each hash."""
+    bits = int(len(h)).bit_length() + 3
+    steps = np.diff(h >> np.uint64(64 - bits), prepend=np.uint64(0))
+    width = 1 if int(steps.max()) < 1 << 8 else 4
+    return bytes([bits, width]) + steps.astype(f"<u{width}").tobytes()
+
+
+def perhaps(x: bytes, y: bytes, similarity: float) -> bool:
+    """Whether sets of these codes can be linked: what they share is at most what their leading bits share."""
+    a, b = (np.cumsum(np.frombuffer(z, f"<u{z[1]}", offset=2), dtype=np.int64) for z in (x, y))
+    if x[0] != y[0]:
+        a, b = a >> max(0, x[0] - y[0]), b >> max(0, y[0] - x[0])
+    (a1, na), (b1, nb) = (np.unique(z, return_counts=True) for z in (a, b))
+    _, i, j = np.intersect1d(a1, b1, assume_unique=True, return_indices=True)
+    return bool(np.minimum(na[i], nb[j]).sum() >= least_shared(len(a), len(b), similarity))
+
+
+def frequent_keys(marks: DataFrame) -> np.ndarray:
+    """The most frequent counted hashes, ascending: those above the least count of at least OFTEN that leaves at most FREQUENT."""
+    counts, a = stage(marks.where("kind = 2").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN), "similar-often")
+    left, least = FREQUENT, OFTEN
+    for r in counts.groupBy(F.floor(F.log2("n") * 8).alias("band")).agg(F.count("*").alias("c"), F.min("n").alias("n")).orderBy(F.desc("band")).collect():
+        left -= r.c
+        if left < 0:
+            break
+        least = r.n - 1
+    else:
+        least = OFTEN
+    keys = counts.where(F.col("n") > least).select("key").toArrow().column("key").to_numpy()
+    drop(marks.sparkSession, a)
+    return np.sort(keys.view(np.uint64))
+
+
+def first_pairs(marks: DataFrame) -> tuple[DataFrame, list[str]]:
+    """A few likely pairs (u, v) of sets, u > v: each with the least of equal fingerprint or least hash, and of linked fingerprints the least of each."""
+    spark = marks.sparkSession
+    own = marks.where("kind < 2")
+    least, a = stage(own.groupBy("kind", "key").agg(F.min(F.struct("sid", "fp")).alias("x"), F.count("*").alias("c")).select("kind", "key", F.col("x.sid").alias("least"), F.col("x.fp").alias("print"), "c"), "similar-least")
+    stars = own.join(least.where("c > 1"), ["kind", "key"]).where(f"sid > least AND bit_count(fp ^ print) <= {NEAR}").select(F.col("sid").alias("u"), F.col("least").alias("v"))
+    prints = least.where("kind = 0").select(F.col("key").alias("fp"), "least")
+    edges, paths = simhash.links(prints.select("fp"))
+    linked = edges.join(prints.select(F.col("fp").alias("u"), F.col("least").alias("a")), "u").join(prints.select(F.col("fp").alias("v"), F.col("least").alias("b")), "v")
+    out, b = stage(stars.union(linked.select(F.greatest("a", "b"), F.least("a", "b"))).distinct(), "similar-first")
+    drop(spark, a, *paths)
+    return out, [b]
+
+
+def groups_of(batches, keys: int, cap: int):
+    """(members, whole) for the groups of equal leading columns in a sorted stream, as arrays (columns, members); in pieces beyond cap."""
+    held, over = None, False
     for b in batches:
         if not b.num_rows:
             continue
         now = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])
-        now = now if held is None else np.concatenate([held, now], 1)
-        cuts = np.flatnonzero(now[0, 1:] != now[0, :-1]) + 1
+        if held is not None:
+            now = np.concatenate([held, now], 1)
+        cuts = np.flatnonzero((now[:keys, 1:] != now[:keys, :-1]).any(0)) + 1
         edges = np.concatenate(([0], cuts))
         held = now[:, edges[-1] :]
-        wide = np.flatnonzero(np.diff(edges) > 1)
-        for a, z in zip(edges[wide].tolist(), edges[wide + 1].tolist(), strict=True):
-            yield now[:, a:z]
-    if held is not None and held.shape[1] > 1:
-        yield held
-
-
-def batched(found):
-    """Record batches of a stream of (u, v) arrays, v None for a crowded key."""
-    us, vs, size = [], [], 0
-    for u, v in found:
-        us.append(pa.array(u, pa.int64()))
-        vs.append(pa.nulls(len(u), pa.int64()) if v is None else pa.array(v, pa.int64()))
-        size += len(u)
-        if size > PAIRS:
-            yield pa.RecordBatch.from_arrays([pa.concat_arrays(us), pa.concat_arrays(vs)], ["u", "v"])
-            us, vs, size = [], [], 0
-    if size:
-        yield pa.RecordBatch.from_arrays([pa.concat_arrays(us), pa.concat_arrays(vs)], ["u", "v"])
-
-
-def pairs_of(n: np.ndarray, sid: np.ndarray, at: np.ndarray, similarity: float, group: np.ndarray | None = None):
-    """(u > v) arrays of the possible pairs of a meeting in order of size, of different groups if given."""
+        for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if z - a > 1 or over:
+                yield now[:, a:z], not over and z - a <= cap
+            over = False
+        if held.shape[1] > cap:
+            yield held[:, :-1], False
+            held, over = held[:, -1:], True
+    if held is not None and (held.shape[1] > 1 or over):
+        yield held, not over and held.shape[1] <= cap
+
+
+def pairs_of(n, sid, at, root, similarity: float, side=None):
+    """(u, v, sizes, places) arrays, u > v, of the possible pairs, of different groups (and sides, if given), of sets in order of size."""
+    if (root == root[0]).all():
+        return
     for i in range(len(n) - 1):
-        end = np.searchsorted(n, n[i] / similarity + 1e-6, "right")
-        j = np.arange(i + 1, end)
-        if group is not None:
-            j = j[group[j] != group[i]]
-        j = j[possible(n[i], at[i], n[j], at[j], similarity)]
-        if len(j):
-            yield np.maximum(sid[i], sid[j]), np.minimum(sid[i], sid[j])
-
+        j = np.arange(i + 1, np.searchsorted(n, n[i] / similarity + 1e-6, "right"))
+        ok = (root[j] != root[i]) & possible(n[i], at[i], n[j], at[j], similarity)
+        if side is not None:
+            ok &= side[j] != side[i]
+        if len(j := j[ok]):
+            i_first = sid[i] > sid[j]
+            yield tuple(x for c in (sid, n, at) for x in (np.where(i_first, c[i], c[j]), np.where(i_first, c[j], c[i])))
+
+
+def batched(found, names: list[str]):
+    """Record batches of about PAIRS rows of a stream of arrays; None is a column of nulls."""
+    held, size = [], 0
+    for cols in found:
+        held.append(cols)
+        size += max(len(c) for c in cols if c is not None)
+        if size > PAIRS:
+            yield joined(held, names)
+            held, size = [], 0
+    if held:
+        yield joined(held, names)
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, similarity: float) -> tuple[DataFrame, list[str]]:
-    """The linked ones of staged pairs (u, v), by the texts (sid, text) of all sets; and their paths."""
-    spark = pairs.sparkSession
-    wanted, a = stage(pairs.select(F.col("u").alias("sid")).union(pairs.select("v")).distinct(), "similar-wanted")
 
-    def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t, size).tobytes() for t in utf8(b.column(1))], pa.binary())], ["sid", "h"])
+def joined(held: list, names: list[str]) -> pa.RecordBatch:
+    rows = [max(len(c) for c in cols if c is not None) for cols in held]
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.nulls(k, pa.int64()) if cols[i] is None else pa.array(cols[i], pa.int64()) for cols, k in zip(held, rows, strict=True)]) for i in range(len(names))], names)
 
-    sets, b = stage(map_batches(texts.join(wanted, "sid", "left_semi").select("sid", "text"), fn, "sid long, h binary"), "similar-sets")
-    left, c = stage(pairs.join(sets.select(F.col("sid").alias("u"), F.col("h").alias("hu")), "u"), "similar-left")
-    both = left.join(sets.select(F.col("sid").alias("v"), F.col("h").alias("hv")), "v").select("u", "v", "hu", "hv")
 
-    def judge(b: pa.RecordBatch) -> pa.RecordBatch:
-        of = lambda k: [np.frombuffer(x, np.uint64) for x in b.column(k).to_pylist()]
-        ok = [alike(x, y, similarity) for x, y in zip(of(2), of(3), strict=True)]
-        return pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+PAIR, POSTING = ["u", "v", "nu", "nv", "au", "av"], ["key", "n", "sid", "at", "root"]
 
-    out, d = stage(map_batches(both, judge, "u long, v long"), "similar-edges")
-    drop(spark, a, b, c)
-    return out, [d]
 
+def rest_pairs(postings: DataFrame, similarity: float) -> tuple[DataFrame, list[str]]:
+    """Every pair (u, v) of different groups that may be linked, from staged filed().
 
-def grouped(texts: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY) -> tuple[DataFrame, str]:
-    """(node, root) of the sets (sid, text) that have a link; and its path."""
-    spark = texts.sparkSession
-    postings, a = stage(filed(texts, size, similarity), "similar-filed")
-    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    A pair that has met c times, last at these places, shares c shingles and at most what follows.  Meetings that are dropped as too
+    late follow all that are kept, so they are counted in what follows.
+    """
+    spark = postings.sparkSession
 
-    def compare(batches):
+    def cold(batches):
         def found():
-            for key, n, sid, at in meetings(batches):
-                if len(n) <= CAP:
-                    yield from pairs_of(n, sid, at, similarity)
-                    continue
-                ok = possible(n[:-1], at[:-1], n[1:], at[1:], similarity)
-                yield np.maximum(sid[:-1], sid[1:])[ok], np.minimum(sid[:-1], sid[1:])[ok]
-                yield key[:1], None
-
-        return batched(found())
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
-    met, b = stage(postings.repartition(F.col("key")).sortWithinPartitions("key", "n", "sid").mapInArrow(compare, "u long, v long").distinct(), "similar-met")
-    pairs, crowded = met.where("v IS NOT NULL"), met.where("v IS NULL").select(F.col("u").alias("key"))
-    edges, c = verified(pairs, texts, size, similarity)
+            for g, whole in groups_of(batches, 1, BLOCK):
+                if whole:
+                    for pair in pairs_of(*g[1:], similarity):
+                        yield *pair, *[None] * len(POSTING)
+                else:
+                    yield *[None] * len(PAIR), *g
+
+        return batched(found(), PAIR + POSTING)
+
+    longs = lambda names: ", ".join(f"{c} long" for c in names)
+    with wide_batches(spark):
+        met, a = stage(postings.where("NOT hot").select(*POSTING).repartition(F.col("key")).sortWithinPartitions("key", "n", "sid").mapInArrow(cold, longs(PAIR + POSTING)), "similar-met")
+    crowd, b = stage(postings.where("hot").select(*POSTING).union(met.where("key IS NOT NULL").select(*POSTING)), "similar-crowd")
+    mixed, c = stage(crowd.groupBy("key").agg(F.count("*").alias("c"), F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")), "similar-mixed")
+
+    def hot(batches):
+        def found():
+            for g, _ in groups_of(batches, 3, 1 << 40):
+                lo, hi, n, sid, at, root, own = g[1], g[2], *g[3:]
+                yield from pairs_of(n, sid, at, root, similarity, own if lo[0] != hi[0] else None)
+
+        return batched(found(), PAIR)
+
+    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("own")
+    cut = crowd.join(mixed, "key").select(*POSTING, own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cut = cut.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "n", "sid", "at", "root", "own")
+    with wide_batches(spark):
+        more, d = stage(cut.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "sid").mapInArrow(hot, longs(PAIR)), "similar-across")
+    all_met = met.where("u IS NOT NULL").select(*PAIR).union(more)
+    bound = F.expr(f"c + least(nu - 1 - au, nv - 1 - av) >= ceil({similarity / (1 + similarity)!r}D * (nu + nv) - 1e-9D)")
+    pairs = all_met.groupBy("u", "v", "nu", "nv").agg(F.count("*").alias("c"), F.max("au").alias("au"), F.max("av").alias("av")).where(bound).select("u", "v")
+    out, e = stage(pairs, "similar-rest")
+    drop(spark, a, b, c, d)
+    return out, [e]
+
+
+def grouped(scan: Scan) -> tuple[DataFrame, str]:
+    """(node, root) of the sets that have a link; and its path."""
+    spark = scan.spark
+    marks, a = scan.marks()
+    often = frequent_keys(marks)
+    first, b = first_pairs(marks)
+    drop(spark, a)
+    forget(spark)
+    edges, c = scan.verified(first)
+    forget(spark)
     roots, d = components(edges)
-    if not crowded.isEmpty():
-
-        def across(batches):
-            def found():
-                for _, n, sid, at, group in meetings(batches):
-                    if (group != group[0]).any():
-                        yield from pairs_of(n, sid, at, similarity, group)
-
-            return batched(found())
-
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
-        crowd, e = stage(postings.join(crowded, "key", "left_semi").join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("key", "n", "sid", "at", F.coalesce("root", "sid").alias("root")), "similar-crowd")
-        rest, f = stage(crowd.repartition(F.col("key")).sortWithinPartitions("key", "n", "sid").mapInArrow(across, "u long, v long").distinct().join(pairs, ["u", "v"], "left_anti"), "similar-rest")
-        more, g = verified(rest, texts, size, similarity)
-        whole, h = components(edges.union(more))
-        drop(spark, d, e, f, *g)
-        roots, d = whole, h
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-    drop(spark, a, b, *c)
-    return roots, d
+    postings, e = scan.filed(roots, often)
+    rest, f = rest_pairs(postings, scan.similarity)
+    drop(spark, *b, e)
+    forget(spark)
+    more, g = scan.verified(rest)
+    whole, h = components(edges.union(more))
+    drop(spark, c, d, *f, g)
+    return whole, h
 
 
 def one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """One row of each group, the one of smallest id (then by place), every column as it was."""
+    """One row of each class, the one of smallest id (then by place), every column as it was."""
     spark = docs.sparkSession
-    rows, _ = with_row_id(docs)
+    rows, ident, _ = with_row_id(docs)
 
     def digests(b: pa.RecordBatch) -> pa.RecordBatch:
-        of = [xxhash.xxh3_128_digest(b" ".join(t.translate(LOWER).split())) for t in utf8(b.column(b.num_columns - 1))]
-        return pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(of, pa.binary())], [key, *ROW_ID, "words"])
+        of = [xxhash.xxh3_128_digest(b" ".join(t.translate(LOWER).split())) for t in utf8(b.column(3))]
+        return pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(of, pa.binary())], ["id", "file", "row", "words"])
 
-    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), *ROW_ID)
-    prints = map_batches(rows.select(key, *ROW_ID, text), digests, f"`{key}` {dict(docs.dtypes)[key]}, {ROW_ID[0]} string, {ROW_ID[1]} long, words binary")
+    named_rows = rows.select(F.col(named(key)).alias("id"), F.col(ident[0]).alias("file"), F.col(ident[1]).alias("row"), F.col(named(text)))
+    prints = map_batches(named_rows, digests, f"id {dict(docs.dtypes)[key]}, file string, row long, words binary")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")
     distinct, a = stage(prints.groupBy("words").agg(F.min(rank).alias("first")).select("first", F.monotonically_increasing_id().alias("sid")), "distinct")
-    places = distinct.select(*(F.col(f"first.{c}").alias(c) for c in ROW_ID), "sid")
-    texts, b = stage(rows.select(*ROW_ID, F.col(text).alias("text")).join(places, list(ROW_ID)).select("sid", "text"), "similar-texts")
-    roots, c = grouped(texts, size, similarity)
-    drop(spark, b)
+    places, b = stage(distinct.select("first.file", "first.row", "sid"), "similar-places")
+    roots, c = grouped(Scan(rows, ident, text, places, size, similarity))
     rooted = distinct.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(F.coalesce("root", "sid").alias("root"), "first")
-    keep, _ = stage(rooted.groupBy("root").agg(F.min("first").alias("least")).select(*(F.col(f"least.{c}").alias(c) for c in ROW_ID)), "kept")
-    drop(spark, a, c)
-    return rows.join(keep, list(ROW_ID), "left_semi").select(*(rows[c] for c in docs.columns))
+    keep = write_side(rooted.groupBy("root").agg(F.min("first").alias("least")).select("least.file", "least.row", F.lit(True).alias("value")), "kept")
+    drop(spark, a, b, c)
+    return keep_side(rows, ident, docs.columns, keep)

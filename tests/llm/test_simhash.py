@@ -3,7 +3,6 @@
 import random
 
 import xxhash
-from pyspark.sql import functions as F
 
 from quire.llm import components, simhash
 
@@ -60,7 +59,7 @@ def test_links(spark, monkeypatch):
     frame = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in rows], "doc_id long, fp long")
     for cap in (2048, 8):
         monkeypatch.setattr(simhash, "CAP", cap)
-        labels, _ = simhash.labelled(frame, F.min("doc_id"))
+        labels, _ = simhash.labelled(frame, "doc_id")
         got = frame.join(labels, "fp").select("doc_id", "least").collect()
         assert sorted(map(tuple, got)) == sorted((i, c) for i, _, c in groups(rows))
 
@@ -83,7 +82,4 @@ def test_odd_rows(spark):
     rows = [(3, t), (3, t), (None, t), (2, t.upper()), (9, None), (8, ""), (7, " \n"), (None, "alone here"), (6, "x"), (5, "x y"), (4, "é " * 20000)]
     frame = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, fp string")
     assert sorted(map(tuple, simhash.groups(frame).collect()), key=str) == groups([(i, plain(x)) for i, x in rows])
-    kept = simhash.one_each(frame)
-    assert kept.columns == frame.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([2, 7, None, 6, 5, 4], key=str)
-    assert simhash.groups(frame.limit(0)).collect() == [] and simhash.one_each(frame.limit(0)).collect() == []
+    assert simhash.groups(frame.limit(0)).collect() == []

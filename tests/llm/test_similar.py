@@ -41,8 +41,9 @@ def test_near_copies(spark, sf, monkeypatch):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     want = kept(rows)
     assert len(want) < len(rows) - 30
-    for cap in (24, 3):
-        monkeypatch.setattr(similar, "CAP", cap)
+    for block, often in ((1024, 24), (3, 2)):
+        monkeypatch.setattr(similar, "BLOCK", block)
+        monkeypatch.setattr(similar, "OFTEN", often)
         assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, frame, sf).collect()) == want
 
 
@@ -60,3 +61,53 @@ def test_odd_rows(spark):
     assert got.columns == frame.columns
     assert sorted((r.doc_id for r in got.collect()), key=str) == sorted([2, 7, None, 6, 5, 4], key=str)
     assert similar.one_each(frame.limit(0)).collect() == []
+
+
+def test_clashing_names(spark, tmp_path):
+    t = "one two three four five six seven"
+    frame = spark.createDataFrame([(2, t, 5, 0, 0, 0), (1, t.upper(), 6, 0, 0, 0), (3, "x", 7, 0, 0, 0)], "doc_id long, text string, _row_file long, _ROW_NUMBER long, _metadata long, `a.b` long")
+    frame.write.parquet(str(tmp_path / "t"))
+    for d in (frame, spark.read.parquet(str(tmp_path / "t"))):
+        out = similar.one_each(d)
+        assert out.columns == d.columns and sorted(r[:3] for r in out.collect()) == [(1, t.upper(), 6), (3, "x", 7)]
+
+
+def test_no_text_is_shuffled(spark, sf):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = similar.one_each(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_pieces_of_a_stream():
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(1)
+    for _ in range(300):
+        keys = sorted(rnd.choice("aabbbc") for _ in range(rnd.randrange(1, 30)))
+        flat = [(ord(k), i) for i, k in enumerate(keys)]
+        cuts = sorted({0, len(flat), *(rnd.randrange(len(flat)) for _ in range(3))})
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*flat[a:z])], ["key", "i"]) for a, z in zip(cuts, cuts[1:])]
+        got = list(similar.groups_of(iter(batches), 1, 4))
+        seen = sorted(int(i) for g, _ in got for i in g[1])
+        assert seen == [i for k, i in flat if keys.count(chr(k)) > 1]
+        for g, whole in got:
+            n = keys.count(chr(int(g[0, 0])))
+            assert np.all(g[0] == g[0, 0]) and whole == (n <= 4) and (not whole or g.shape[1] == n)
+
+
+def test_codes_never_rule_out_a_link():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for n in (1, 2, 3, 7, 31, 32, 900, 5000):
+        for drop in range(0, max(1, n // 4), max(1, n // 40)):
+            a = np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2))
+            b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 63, drop, np.uint64)]))
+            if similar.alike(a, b, 0.8):
+                assert similar.perhaps(similar.code(a), similar.code(b), 0.8)
+        c = np.unique(rng.integers(0, 1 << 63, n, np.uint64))
+        assert n < 31 or not similar.perhaps(similar.code(a), similar.code(c), 0.8)
