@@ -8,8 +8,10 @@ A dataset is a folder of
 
 Ids are little-endian, 2 bytes each where the vocabulary allows, else 4.  Any document is read with two seeks.
 
-Documents ascend by id, rows without an id first, equal ids by their content, so equal input gives equal files.  Null text
-is empty: it holds the end id alone.  Repeated rows are all kept.  Files are written under temporary names and
+Documents ascend by id, rows without an id first, equal ids by a hash of their content, so equal input gives equal files.  Parts are
+ranges of (id, hash, place): an id, or no id, in a third of all rows is cut by content, and a row in a third of all by where it was read.  A
+part is rolled after ROLL_DOCS documents, so its index has a bound.  Null text is empty: it holds the end id alone; a very long text is one
+frame, held whole once.  Repeated rows are all kept.  Files are written under temporary names and
 renamed, so a repeated task replaces its file by the same bytes.  An empty table gives a dataset without parts.  Columns
 besides the id and the text are not read.
 """
@@ -30,15 +32,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import as_batches, bound_batches, drop, id_shards, map_batches, new_path, open_fs, shard_number, stage, table, texts
+from quire.llm.common import as_batches, bound_batches, drop, map_batches, new_path, open_fs, range_shards, stage, table, texts
 from quire.llm.wordbpe import Twofold, byte_letters
 
 MAGIC = b"TIDX0001"
-#: The dictionary is trained on the whole ids of at most so many documents, of at most so many characters each, of least xxhash64(id).
-SAMPLE, SAMPLE_CHARS = 400, 16_384
+#: The dictionary is trained on so many rows at most, those of least hash, of any length: each gives so many blocks of so many ids at most, spread evenly.
+SAMPLE, SAMPLE_BLOCKS, SAMPLE_IDS = 400, 4, 2048
 DICTIONARY_BYTES = 65_536
-#: Compressed bytes in a part, and documents read by a task.
-PART_BYTES, READ_DOCS = 32 << 20, 20_000
+#: Compressed bytes in a part, documents after which it is rolled, and documents read by a task.
+PART_BYTES, ROLL_DOCS, READ_DOCS = 32 << 20, 1 << 20, 20_000
 # Fixed value: the public byte-level pre-tokenisation pattern.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -102,17 +104,40 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def blocks_of(ids: bytes, width: int) -> list[bytes]:
+    """Up to SAMPLE_BLOCKS blocks of SAMPLE_IDS ids, the first and the last of them among them."""
+    size = SAMPLE_IDS * width
+    if len(ids) <= SAMPLE_BLOCKS * size:
+        return [ids]
+    last = (len(ids) - size) // width
+    return [ids[(a := last * i // (SAMPLE_BLOCKS - 1) * width) : a + size] for i in range(SAMPLE_BLOCKS)]
+
+
 def train_dictionary(docs: DataFrame, key: str, text: str, path: str | None, end: int) -> bytes:
-    """A dictionary from the bounded sample above; empty where there are too few documents."""
-    chosen = (
-        docs.select(F.xxhash64(key).alias("h"), F.col(key).alias("k"), F.col(text).alias("t")).where(f"length(t) BETWEEN 1 AND {SAMPLE_CHARS}").orderBy("h", "k", F.xxhash64("t"), "t").limit(SAMPLE).select("t")
-    )
+    """A dictionary from the bounded sample above; empty where there are too few documents.
 
-    def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-        t = loaded(path or default_path())
-        return pa.RecordBatch.from_arrays([pa.array([t.encode(x) + np.asarray([end], t.width).tobytes() for x in texts(b.column(0))], pa.binary())], ["ids"])
+    Hashes alone are ranked; those above a threshold for 16 times the sample don't leave their tasks.
+    """
+    rows = docs.select(F.xxhash64(key, text).alias("h"), F.col(text).alias("t")).where("length(t) > 0")
+    n = docs.select(key).count()
+    most = (1 << 63) - 1 if n <= 64 * SAMPLE else (1 << 64) * 16 * SAMPLE // n - (1 << 63)
+    low = [r.h for r in rows.select("h").where(F.col("h") <= most).distinct().orderBy("h").limit(SAMPLE).collect()]
+    if not low:
+        return b""
 
-    samples = [bytes(r.ids) for r in map_batches(chosen, fn, "ids binary").collect()]
+    def fn(batches):
+        t, seen = loaded(path or default_path()), set()
+        for b in batches:
+            out = []
+            for h, x in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True):
+                if h not in seen:  # copies of a row count once
+                    seen.add(h)
+                    out.append((h, blocks_of(t.encode(x) + np.asarray([end], t.width).tobytes(), int(t.width[2]))))
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in out], pa.int64()), pa.array([x for _, x in out], pa.list_(pa.binary()))], ["h", "ids"])
+
+    bound_batches(docs.sparkSession)
+    chosen = rows.where(F.col("h") <= low[-1]).mapInArrow(fn, "h long, ids array<binary>").groupBy("h").agg(F.min("ids").alias("ids"))
+    samples = [bytes(x) for r in chosen.collect() for x in r.ids]
     if len(samples) < 32:
         return b""
     try:
@@ -150,33 +175,36 @@ def write(docs: DataFrame, root: str, key: str = "doc_id", text: str = "text", p
         return pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // size for x in ids], pa.int64()), pa.array([z.compress(x) for x in ids], pa.binary())], ["key", "n", "frame"])
 
     frames, at = stage(map_batches(docs, encode, "key long, n long, frame binary"), "frames")
-    ranges, _ = id_shards(frames, "key", F.octet_length("frame") + 40, part_bytes)
-    shards = max(1, len(ranges))
+    frames = frames.select("*", F.xxhash64("frame").alias("h"), F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("place"))
+    keys = [F.col("key").isNotNull().cast("long"), F.coalesce("key", F.lit(0)), F.col("h"), F.col("place")]
+    ranges = range_shards(frames, keys, F.octet_length("frame") + 40, part_bytes)
+    shards = ranges.count
     own = open_fs(root)
     own[0].create_dir(own[1], recursive=True)
     if raw:
         put(own[0], f"{own[1]}/dict-{digest}.zdict", raw)
 
-    def flush(fs, folder: str, shard: int, rows: list[tuple], temp: str, out) -> dict:
+    def flush(fs, folder: str, shard: int, nth: int, rows: list[tuple], temp: str, out) -> dict:
         out.close()
-        name = f"part-{shard:05d}"
+        name = f"part-{shard:05d}-{nth:03d}"
         fs.move(temp, f"{folder}/{name}.tidz")
         keys, counts, sizes = zip(*rows, strict=True)
         index = MAGIC + bytes.fromhex(digest) + len(rows).to_bytes(8, "little")
         index += np.asarray([k or 0 for k in keys], "<i8").tobytes() + np.asarray([k is None for k in keys], "u1").tobytes()
         index += np.cumsum(sizes, dtype="<u8").tobytes() + np.asarray(counts, "<u8").tobytes()
         put(fs, f"{folder}/{name}.tidx", index)
-        return {"shard": shard, "name": name, "n_docs": len(rows), "n_tokens": sum(counts), "bytes": sum(sizes)}
+        return {"shard": shard, "nth": nth, "name": name, "n_docs": len(rows), "n_tokens": sum(counts), "bytes": sum(sizes)}
 
     def save(batches):
         fs, folder = open_fs(root)
-        shard, rows, temp, out = None, [], "", None
+        shard, nth, rows, temp, out = None, 0, [], "", None
         for b in batches:
             done = []
             for s, k, n, frame in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if s != shard:
+                if s != shard or len(rows) >= ROLL_DOCS:
                     if out:
-                        done.append(flush(fs, folder, shard, rows, temp, out))
+                        done.append(flush(fs, folder, shard, nth, rows, temp, out))
+                    nth = nth + 1 if s == shard else 0
                     shard, rows, temp = s, [], f"{folder}/.{uuid.uuid4().hex}.tmp"
                     out = fs.open_output_stream(temp)
                 out.write(frame)
@@ -184,12 +212,12 @@ def write(docs: DataFrame, root: str, key: str = "doc_id", text: str = "text", p
             if done:
                 yield pa.RecordBatch.from_pylist(done, schema=kept)
         if out:
-            yield pa.RecordBatch.from_pylist([flush(fs, folder, shard, rows, temp, out)], schema=kept)
+            yield pa.RecordBatch.from_pylist([flush(fs, folder, shard, nth, rows, temp, out)], schema=kept)
 
-    kept = pa.schema([("shard", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("bytes", pa.int64())])
+    kept = pa.schema([("shard", pa.int32()), ("nth", pa.int32()), ("name", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("bytes", pa.int64())])
     bound_batches(spark)
-    dealt = frames.select(shard_number(F.col("key"), ranges).cast("int").alias("shard"), "key", "n", "frame").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "n", "frame")
-    parts = sorted((r.asDict() for r in dealt.mapInArrow(save, "shard int, name string, n_docs long, n_tokens long, bytes long").collect()), key=lambda r: r["shard"])
+    dealt = frames.select(ranges.number(keys).alias("shard"), "key", "n", "frame", "h").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "h", "n", "frame").drop("h")
+    parts = sorted((r.asDict() for r in dealt.mapInArrow(save, "shard int, nth int, name string, n_docs long, n_tokens long, bytes long").collect()), key=lambda r: (r["shard"], r["nth"]))
     start = 0
     for p in parts:
         p["start"] = start

@@ -1,10 +1,14 @@
 """Operator 5, deterministic sharded WARC writer.
 
-Records ascend by page id over range shards, each record is a gzip member of its own, a file is rolled when
+Records ascend by page id, then digest, over shards that are ranges of both (an id, or no id, in a third of all rows is cut by digest), each record is a gzip member of its own, a file is rolled when
 its compressed bytes reach a limit, and headers and digests are made anew from the payload.  Dates, record ids and shard
 bounds follow from the input and parameters alone, so equal tables give equal archives.  Files are written under
 temporary names and renamed; manifest.json, written last, names those that count.
 
+Payloads are shuffled once, to their shard.  Which page a payload refers to is found on ids and digests alone and travels to the shard as a
+short row that sorts before the payload's; only rows equal in id and payload stay together, in a stream that keeps none of them.  A very long
+payload is held whole, once or twice.
+
 Of records with equal payloads of at least `least` bytes the one of smallest page id is the response and the others
 revisit it; shorter ones are all responses.  Null html is an empty payload; null url becomes a urn of the page.  Rows of equal
 page id and payload: the first by url is the response and the others revisit it.  Rows without page id come first; they revisit the
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import bound_batches, drop, id_shards, new_path, open_fs, shard_number, stage, table
+from quire.llm.common import bound_batches, drop, new_path, open_fs, range_shards, stage, table
 from quire.llm.tokenbin import put
 
 LEAST = 100
@@ -69,14 +73,18 @@ def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", h
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     meta, meta_at = stage(rows.select("key", F.octet_length("payload").alias("size"), "digest"), "warc-meta")
-    ranges, _ = id_shards(meta, "key", F.col("size") + 200, shard_bytes)
-    # Both sides of the join are scans, so a payload with a third of all rows is split; a short list is broadcast by Spark's size check.
-    repeated, repeated_at = stage(meta.where(F.col("size") >= least).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "warc-repeated")
+    # 60 leading bits of the digest order as the digest does, and fit a long
+    keys = [F.col("key").isNotNull().cast("long"), F.coalesce("key", F.lit(0)), F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")]
+    ranges = range_shards(meta, keys, F.col("size") + 200, shard_bytes)
+    # Both sides of the join are scans of short rows, so a payload with a third of all rows is split.
+    repeated, repeated_at = stage(meta.where(F.col("size") >= least).groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select("digest", "first"), "warc-repeated")
+    marks, marks_at = stage(meta.join(repeated, "digest").select("key", "digest", "first").distinct(), "warc-marks")
+    every = marks.select("key", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", "first")
+    every = every.unionByName(rows.withColumn("first", F.lit(None).cast("long")))
     dealt = (
-        rows.join(repeated, "digest", "left")
-        .select(shard_number(F.col("key"), ranges).cast("int").alias("shard"), "key", "url", "payload", "digest", "first")
-        .repartitionById(max(1, len(ranges)), F.col("shard"))
-        .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", F.col("url").asc_nulls_first())
+        every.select(ranges.number(keys).alias("shard"), "key", "url", "payload", "digest", "first")
+        .repartitionById(ranges.count, F.col("shard"))
+        .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "digest", F.col("first").asc_nulls_last(), F.col("url").asc_nulls_first())
     )
     fs, folder = open_fs(root)
     fs.create_dir(folder, recursive=True)
@@ -84,7 +92,7 @@ def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", h
 
     def save(batches):
         fs, folder = open_fs(root)
-        shard, nth, out, temp, records, size, last, same = None, 0, None, "", 0, 0, None, 0
+        shard, nth, out, temp, records, size, last, same, told = None, 0, None, "", 0, 0, None, 0, (None, None)
 
         def close():
             out.close()
@@ -95,6 +103,10 @@ def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", h
         for b in batches:
             done = []
             for s, k, u, payload, digest, first in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if payload is None:  # the mark of the rows that follow
+                    told = ((k, digest), first)
+                    continue
+                first = told[1] if told[0] == (k, digest) else None
                 if s != shard or size >= roll:
                     if out:
                         done.append(close())
@@ -118,7 +130,7 @@ def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", h
     files = sorted((r.asDict() for r in dealt.mapInArrow(save, "shard int, nth int, name string, records long, bytes long").collect()), key=lambda r: (r["shard"], r["nth"]))
     manifest = {"format": "WARC/1.1", "records": sum(f["records"] for f in files), "files": files}
     put(fs, f"{folder}/manifest.json", json.dumps(manifest, sort_keys=True).encode())
-    drop(spark, meta_at, repeated_at)
+    drop(spark, meta_at, repeated_at, marks_at)
     return manifest
 
 

@@ -6,9 +6,10 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quire.llm import tokenbin, warc
+from quire.llm import common, tokenbin, warc
 from tests.llm.test_text_ops import ODD
 
 BYTES = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -55,6 +56,37 @@ def test_tokens_dictionary(spark, sf, tmp_path):
     assert not [x for x in os.listdir(f"{tmp_path}/t") if x.endswith(".tmp")]
 
 
+def test_tokens_hot(spark, tmp_path):
+    """A third of the rows without an id, a third with one id, and copies: cut into parts, none of them much above the limit."""
+    rows = [(None, f"none {i}") for i in range(300)] + [(7, f"seven {i}") for i in range(300)] + [(i - 150, "same") for i in range(300)] + [(8, "copy")] * 300
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    root = f"file://{tmp_path}/t"
+    manifest = tokenbin.write(frame, root, part_bytes=3000)
+    assert max(p["n_docs"] for p in manifest["parts"]) < 150 and len(manifest["parts"]) > 12
+    got = sorted(tokenbin.read(spark, root).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert sorted(tuple(r.ids) for r in got) == sorted(tuple(BYTES.encode(t, add_special_tokens=False).ids + [0]) for _, t in rows)
+    starts = [r.start for r in got]
+    assert starts == [sum(r.n_tokens for r in got[:i]) for i in range(len(got))]
+
+
+def test_ranges(spark):
+    for values, target in (([-(1 << 63), (1 << 63) - 1, 0, 5, 5, 6], 1), ([3] * 9, 2), (list(range(1000)), 10), ([0] * 50 + [1 << 62], 5), ([i * i * i for i in range(500)], 7)):
+        frame = spark.createDataFrame([(v, n) for n, v in enumerate(values)], "v long, n long")
+        keys = [F.col("v"), F.col("n")]
+        ranges = common.range_shards(frame, keys, F.lit(1), target)
+        got = frame.select("v", "n", ranges.number(keys).alias("s")).orderBy("v", "n").collect()
+        assert [r.s for r in got] == sorted(r.s for r in got) and {r.s for r in got} <= set(range(ranges.count))
+        sizes = [sum(r.s == s for r in got) for s in range(ranges.count)]
+        assert max(sizes) <= target and len(sizes) <= 2 * len(values) / target + 1
+
+
+def test_dictionary_sample():
+    ids = np.arange(100_000, dtype="<u2").tobytes()
+    found = tokenbin.blocks_of(ids, 2)
+    assert len(found) == 4 and found[0] == ids[:4096] and found[-1] == ids[-4096:] and tokenbin.blocks_of(b"ab", 2) == [b"ab"]
+
+
 def expected(rows):
     first, out = {}, []
     for k, _, h in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
@@ -86,3 +118,12 @@ def test_warc(spark, sf, tmp_path):
             assert a.read() == b.read()
     warc.write(frame.limit(0), f"file://{tmp_path}/none")
     assert warc.read(spark, f"file://{tmp_path}/none").collect() == []
+
+
+def test_warc_hot(spark, tmp_path):
+    rows = [(None, f"u{i}", f"{i} " * 60) for i in range(200)] + [(i, "u", "same page " * 30) for i in range(200)]
+    root = f"file://{tmp_path}/w"
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    manifest = warc.write(frame, root, shard_bytes=20_000)
+    assert max(f["records"] for f in manifest["files"]) < 120 and len(manifest["files"]) > 4
+    assert sorted(map(tuple, warc.read(spark, root, payloads=False).drop("url").collect()), key=str) == expected(rows)
