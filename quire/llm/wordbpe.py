@@ -29,14 +29,28 @@ from quire.llm.common import map_batches, table, texts
 # The pre-tokenisation rule of the public vocabulary file, white space being Unicode's.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+"
+# What a tokenizers file must say for WordBPE to be its equal.
+EXPECTED_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+EXPECTED_PIECES = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+EXPECTED_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
 NONE = 1 << 62
 #: Leaves of the largest trees that are merged together, and characters of text whose new words meet in one step.
 LEAVES, CHUNK = 64, 2_000_000
 PUNCTUATION = frozenset(string.punctuation)
 
 
+#: Keys of more characters are not kept, so that what is kept has a bound in bytes too.
+LONGEST = 256
+
+
 class Twofold(dict):
-    """A map filled by fill(key) that forgets: of two generations the older goes when the newer is full."""
+    """A map filled by fill(key) that forgets: of two generations the older goes when the newer is full.  Long keys are not kept."""
 
     def __init__(self, fill, size: int):
         super().__init__()
@@ -50,6 +64,8 @@ class Twofold(dict):
         return value
 
     def put(self, key, value) -> None:
+        if len(key) > LONGEST:
+            return
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
@@ -182,10 +198,13 @@ class WordBPE:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        if (spec["normalizer"], spec["pre_tokenizer"], spec.get("decoder"), *(model[k] for k in EXPECTED_MODEL)) != (EXPECTED_NORMALIZER, EXPECTED_PIECES, None, *EXPECTED_MODEL.values()):
+            raise ValueError(f"{path}: only lower-casing BPE with these normalizers and pre-tokenizers, without a decoder, is implemented")
         self.vocab, self.end = model["vocab"], model["end_of_word_suffix"] or ""
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.added.items()}
         self.joined = {i: str(i) for i in self.names}
+        self.named = {str(i): t for i, t in self.names.items()}
         self.pairs = {}
         for rank, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
@@ -203,11 +222,11 @@ class WordBPE:
         self.words = Twofold(self.word, cache)
         self.units = Twofold(self.unit, cache)
 
-    def shown(self, ids: list[int]) -> tuple[str, str]:
-        """Decimal ids, and tokens, each joined by a space."""
-        return " ".join(map(self.joined.__getitem__, ids)), " ".join(map(self.names.__getitem__, ids))
+    def shown(self, ids: list[int]) -> str:
+        """Decimal ids, joined by a space."""
+        return " ".join(map(self.joined.__getitem__, ids))
 
-    def word(self, w: str) -> tuple[str, str]:
+    def word(self, w: str) -> str:
         b = w.encode()
         return self.shown(merge([x for x in [*(self.first[c] for c in b[:-1]), self.last[b[-1]]] if x is not None], self.pairs))
 
@@ -262,19 +281,18 @@ class WordBPE:
                 out += self.split_words(self.normalize(part))
         return out
 
-    def value(self, parts: list[str | int]) -> tuple[str, str]:
+    def value(self, parts: list[str | int]) -> str:
         words = self.words
         if len(parts) == 1 and isinstance(parts[0], str):
             return words[parts[0]]
-        found = [v for p in parts if (v := words[p] if isinstance(p, str) else self.shown([p]))[0]]
-        return " ".join([v[0] for v in found]), " ".join([v[1] for v in found])
+        return " ".join([v for p in parts if (v := words[p] if isinstance(p, str) else self.shown([p]))])
 
-    def unit(self, u: str) -> tuple[str, str]:
-        """Ids and tokens of a piece without spaces, both joined by a space."""
+    def unit(self, u: str) -> str:
+        """Ids of a piece without spaces, joined by a space."""
         return self.value(self.parts(u))
 
-    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, str, int]]:
-        """Decimal ids and tokens of each text, each joined by a space, and how many there are.
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[str, int]]:
+        """Decimal ids of each text, joined by a space, and how many there are.
 
         White space separates words and is dropped, so pieces between spaces are independent.  Texts are taken in groups of
         about CHUNK characters, whose new words are merged together.
@@ -289,16 +307,24 @@ class WordBPE:
             units, words = self.units, self.words
             new = {u: self.parts(u) for u in set().union(*pieces).difference(units, units.old)}
             self.fill_words({p for parts in new.values() for p in parts if isinstance(p, str)}.difference(words, words.old))
+            long = {}
             for u, parts in new.items():
-                units.put(u, self.value(parts))
+                value = self.value(parts)
+                if len(u) > LONGEST:
+                    long[u] = value
+                else:
+                    units.put(u, value)
             for piece in pieces:
-                found = [v for u in piece if (v := units[u])[0]]
-                ids = " ".join([v[0] for v in found])
-                yield ids, " ".join([v[1] for v in found]), ids.count(" ") + 1 if found else 0
+                ids = " ".join([v for u in piece if (v := units[u])]) if not long else " ".join([v for u in piece if (v := long[u] if u in long else units[u])])
+                yield ids, ids.count(" ") + 1 if ids else 0
 
     def encode(self, text: str) -> list[int]:
         return [int(x) for x in next(self.encode_all([text]))[0].split()]
 
+    def decode_joined(self, ids: str) -> str:
+        """decode() of decimal ids joined by a space."""
+        return " ".join(map(self.named.__getitem__, ids.split(" "))) if ids else ""
+
     def decode(self, ids: list[int]) -> str:
         """As a file without a decoder is decoded: tokens joined by a space; unknown ids are left out."""
         return " ".join(self.names[i] for i in ids if i in self.names)
@@ -323,7 +349,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
         flat, ends = [np.empty(0, np.int32)], [0]
-        for ids, _, count in loaded(path or default_path()).encode_all(texts(b.column(1))):
+        for ids, count in loaded(path or default_path()).encode_all(texts(b.column(1))):
             flat.append(np.fromstring(ids, np.int32, sep=" "))
             ends.append(ends[-1] + count)
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
@@ -343,15 +369,15 @@ def decode(frame: DataFrame, key: str = "doc_id", ids: str = "ids", path: str |
 
 
 def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """encode() and decode() in one pass, returned as counts and digests."""
+    """The ids of each text, and the text decoded from those ids, returned as a count and digests."""
 
     def fn(b: pa.RecordBatch) -> pa.RecordBatch:
         t = loaded(path or default_path())
         n, ids, plain = [], [], []
-        for joined, tokens, count in t.encode_all(texts(b.column(1))):
+        for joined, count in t.encode_all(texts(b.column(1))):
             n.append(count)
             ids.append(hashlib.sha256(joined.encode()).hexdigest())
-            plain.append(hashlib.sha256(tokens.encode()).hexdigest())
+            plain.append(hashlib.sha256(t.decode_joined(joined).encode()).hexdigest())
         return pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(plain, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return map_batches(docs.select(key, text), fn, f"`{key}` {dict(docs.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string")
