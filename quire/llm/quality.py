@@ -4,6 +4,8 @@ A text is rejected as repetitive or incompressible when its zstandard ratio (byt
 bytes, level 3), over the whole text, leaves the band for its length, or when more than a set share of
 its fixed chunks leave theirs.  Short texts compress less, so the bands depend on length.
 
+Chunks cover every byte of a text longer than one of them.  A very long text is compressed whole and by chunks, with memory in proportion to itself.
+
 Null and empty texts have no words and fail the base rule.  Ties and repeated rows are judged alone:
 equal texts get equal rows.  An empty table gives an empty result.  Columns other than the id and the text are
 not read by judge(), and kept() returns them untouched, whatever their names.
@@ -37,8 +39,8 @@ class Bands:
         (2800, 1.74, 2.67), (4000, 1.81, 2.73), (5600, 1.87, 2.86), (8000, 1.96, 2.95), (16000, 2.06, 3.0), (32000, 2.19, 3.1), (1 << 62, 2.25, 3.3),
     )
     chunk_bytes: int = 4096
-    #: (bytes below, least, most), for the last chunk may be short.
-    chunk: tuple[tuple[int, float, float], ...] = ((2800, 1.74, 2.67), (4096, 1.81, 2.75), (1 << 62, 1.88, 2.85))
+    #: Limits for a chunk; every chunk is whole.
+    chunk: tuple[float, float] = (1.88, 2.85)
     #: Texts whose chunks leave the band in more than this share are rejected.
     bad_share: float = 0.3
     level: int = 3
@@ -70,14 +72,18 @@ def within(size: int, ratio: float, limits: tuple[tuple[int, float, float], ...]
 
 
 def ratios(b: bytes, bands: Bands, z: zstandard.ZstdCompressor) -> tuple[float, int, int]:
-    """Whole ratio, chunks, chunks out of their band; a last chunk under half the size is left out."""
+    """Whole ratio, chunks, chunks out of their band.
+
+    Chunks follow one another, and the last one ends with the text, so no byte of a text longer than a chunk is left out; a shorter text is
+    judged as a whole alone.
+    """
     whole = len(b) / len(z.compress(b)) if b else 0.0
-    size, n, bad = bands.chunk_bytes, 0, 0
-    for at in range(0, len(b) - size // 2, size):
-        piece = b[at : at + size]
-        n += 1
-        bad += not within(len(piece), len(piece) / len(z.compress(piece)), bands.chunk)
-    return whole, n, bad
+    size, least, most = bands.chunk_bytes, *bands.chunk
+    if len(b) <= size:
+        return whole, 0, 0
+    starts = [*range(0, len(b) - size, size), len(b) - size]
+    bad = sum(not least <= size / len(z.compress(b[a : a + size])) <= most for a in starts)
+    return whole, len(starts), bad
 
 
 def in_band(size: int, whole: float, chunks: int, bad: int, bands: Bands) -> bool:
