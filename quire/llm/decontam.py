@@ -3,27 +3,29 @@
 Patterns are the benchmark items' windows of 8 words (shorter items: one window of all their words).  For each pattern
 length m, a shift table over blocks of B = 2 words says how far the search window may move: m - 1 for blocks in no
 pattern, else the least distance from the block to a pattern's end.  Where the shift is 0, the bucket of that suffix block
-lists the patterns, and a direct comparison of all words confirms.  Patterns of one word have B = 1.
+holds the patterns, and a direct comparison of all words confirms.  Patterns of one word have B = 1.
 
 Null has no words; an item without words has no window, so it never occurs.  Empty texts and tables give zero
 counts or no rows.  Repeated items (equal item_id) count once; equal texts under two ids count as two items.  Items
 without an id can't be counted and are left out: their windows are neither hits nor contaminate.  Columns
 besides ids and texts are not read, and clean() returns them untouched.
 
-The benchmark is a stated query set: its patterns are packed into blocks of at most BLOCK windows, each broadcast on
-its own, and every batch of documents is searched block by block, so memory is bounded at any benchmark size.
+The benchmark is a stated query set: its patterns are packed into blocks of at most BLOCK windows (one item has a block of its own beyond
+that).  The documents are searched in one pass for each block, whose tables are broadcast alone and given up after it; with more than one block what was
+found is written down between passes.  So memory is bounded at any number of items.  A very long text is searched in
+one go, with memory in proportion to itself.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from quire.llm.common import keep_rows, map_batches, table, utf8
+from quire.llm.common import drop, fresh, map_batches, named, stage, table, utf8
 
 WINDOW = 8
 #: Windows in a block that is broadcast: under 64 MB in a worker.
@@ -42,12 +44,12 @@ class Patterns:
     def __init__(self, m: int, patterns: dict[tuple[bytes, ...], list]):
         self.m, self.b = m, min(2, m)
         self.shift: dict = {}
-        self.bucket: dict = defaultdict(list)
+        self.bucket: dict = defaultdict(dict)
         for p, items in patterns.items():
             for end in range(self.b, m + 1):
                 block = p[end - 2 : end] if self.b == 2 else p[0]
                 self.shift[block] = min(self.shift.get(block, m), m - end)
-            self.bucket[p[-2:] if self.b == 2 else p[0]].append((p, items))
+            self.bucket[p[-2:] if self.b == 2 else p[0]][p] = items
         self.bucket = dict(self.bucket)
 
     def search(self, w: list[bytes]):
@@ -56,7 +58,7 @@ class Patterns:
         if m == 1:
             for i, x in enumerate(w):
                 if x in bucket:
-                    yield i, bucket[x][0][1]
+                    yield i, bucket[x][(x,)]
             return
         i, free = m - 1, m - 1
         while i < n:
@@ -64,10 +66,9 @@ class Patterns:
             if step:
                 i += step
                 continue
-            found = tuple(w[i - m + 1 : i + 1])
-            for p, items in bucket[w[i - 1], w[i]]:
-                if p == found:
-                    yield i - m + 1, items
+            items = bucket[w[i - 1], w[i]].get(tuple(w[i - m + 1 : i + 1]))
+            if items:
+                yield i - m + 1, items
             i += 1
 
 
@@ -104,61 +105,71 @@ def hits(w: list[bytes], tables: list[Patterns]) -> tuple[set, list[tuple[int, i
     return items, merged
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, size: int) -> list:
-    """Broadcasts of pattern tables, each of at most BLOCK windows (or one item's)."""
-    spark, out, rows = benchmark.sparkSession, [], []
+def blocks(benchmark: DataFrame, item: str, text: str, size: int):
+    """Pattern tables of at most BLOCK windows (or one item's), one after another."""
+    rows: list = []
     for r in benchmark.select(F.col(item).cast("string"), F.col(text).cast("binary")).where(f"`{item}` is not null").toLocalIterator():
         own = [(r[0], w) for w in dict.fromkeys(windows(bytes(r[1] or b""), size))]
         if rows and len(rows) + len(own) > BLOCK:
-            out.append(spark.sparkContext.broadcast(build(rows)))
+            yield build(rows)
             rows = []
         rows += own
-    if rows:
-        out.append(spark.sparkContext.broadcast(build(rows)))
+    yield build(rows)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
     return out
 
 
-def all_hits(w: list[bytes], tables: list) -> tuple[set, list[tuple[int, int]]]:
-    items, spans = set(), []
-    for t in tables:
-        i, s = hits(w, t.value)
-        items |= i
-        spans += s
-    if len(tables) > 1:
-        spans.sort()
-        merged: list[tuple[int, int]] = []
-        for a, b in spans:
-            if merged and a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-            else:
-                merged.append((a, b))
-        spans = merged
-    return items, spans
+FOUND = (("n_words", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
+FOUND_SQL = "{} long, {} array<string>, {} array<struct<start:long,end:long>>"
 
 
-def search(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
-    """(key, n_words, items array<string> sorted, spans array<struct<start,end>> of hit words) for each document."""
-    tables = blocks(benchmark, item, item_text, size)
+def passes(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, size: int) -> tuple[DataFrame, list[str]]:
+    """docs with three more columns, whose names are returned: words, items found (sorted), and spans of hit words."""
+    spark, names = docs.sparkSession, fresh(docs.columns, *(n for n, _ in FOUND))
+    where, n, plain = docs.columns.index(text), len(docs.columns), docs.columns
+    schema = StructType([*docs.schema, *StructType.fromDDL(FOUND_SQL.format(*names))])
+    now, path = docs, None
+    for k, tables in enumerate(blocks(benchmark, item, item_text, size)):
+        if k:  # the pass before is written down, and what it read is given up
+            now, at = stage(now, "decontamination")
+            if path:
+                drop(spark, path)
+            path = at
+        shared = spark.sparkContext.broadcast(tables)
 
-    def fn(b: pa.RecordBatch) -> pa.RecordBatch:
-        n, items, spans = [], [], []
-        for t in utf8(b.column(1)):
-            w = words(t)
-            i, s = all_hits(w, tables)
-            n.append(len(w))
-            items.append(sorted(i))
-            spans.append([{"start": x, "end": y} for x, y in s])
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(n, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], [key, "n_words", "items", "spans"]
-        )
+        def fn(b: pa.RecordBatch, shared=shared, first=not k) -> pa.RecordBatch:
+            words_, items, spans = [], [], []
+            old = [(None, [], [])] * b.num_rows if first else zip(*(b.column(n + i).to_pylist() for i in range(3)), strict=True)
+            for t, (_, i0, s0) in zip(utf8(b.column(where)), old, strict=True):
+                w = words(t)
+                i, s = hits(w, shared.value)
+                words_.append(len(w))
+                items.append(sorted(i.union(i0)))
+                spans.append([{"start": x, "end": y} for x, y in merged([*s, *((x["start"], x["end"]) for x in s0)])])
+            return pa.RecordBatch.from_arrays([*b.columns[:n], *(pa.array(c, t) for c, (_, t) in zip((words_, items, spans), FOUND, strict=True))], [*plain, *names])
 
-    return map_batches(docs.select(key, text), fn, f"`{key}` {dict(docs.dtypes)[key]}, n_words long, items array<string>, spans array<struct<start:long,end:long>>")
+        now = map_batches(now, fn, schema)
+    return now, names
+
+
+def search(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
+    """(key, n_words, items array<string> sorted, spans array<struct<start,end>> of hit words) for each document."""
+    found, names = passes(docs.select(key, text), benchmark, text, item, item_text, size)
+    return found.select(key, *(F.col(c).alias(n) for c, (n, _) in zip(names, FOUND, strict=True)))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", least_items: int = 2) -> DataFrame:
     """Documents in which windows of fewer than least_items items occur, every column as it was."""
-    tables = blocks(benchmark, "item_id", "text", WINDOW)
-    return keep_rows(docs, lambda ts: [len(all_hits(words(t), tables)[0]) < least_items for t in ts], text)
+    found, names = passes(docs, benchmark, text, "item_id", "text", WINDOW)
+    return found.where(F.size(names[1]) < least_items).select(*map(named, docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,16 +182,3 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("items") >= 2).alias("contaminated"),
     )
-
-
-def brute(text: str | None, items: list[tuple[str, str | None]], size: int = WINDOW) -> tuple[int, int, int, str, bool]:
-    """The contract by plain windows, for tests."""
-    w = words((text or "").encode())
-    mark, found = set(), set()
-    for item, t in items:
-        for p in set(windows((t or "").encode(), size)):
-            for i in range(len(w) - len(p) + 1):
-                if tuple(w[i : i + len(p)]) == p:
-                    mark.update(range(i, i + len(p)))
-                    found.add(item)
-    return len(w), len(mark), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), len(found) >= 2
