@@ -21,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": pii.query,
 }
 
-SQL: dict[str, str] = {"op5_warc": warc.SQL, "op8_url_filter": urlfilter.SQL}
+SQL: dict[str, str] = {"op4_sharding": sharding.SQL, "op5_warc": warc.SQL, "op8_url_filter": urlfilter.SQL}

@@ -5,11 +5,11 @@ listed keys that level 2 takes falsely; and so on until a level takes none false
 that refuses it tells the answer, so the filter is exact there and no page needs a join.
 
 Levels are built of 64-bit words that Spark merges with bit_or.  They are written to the shared folder by shard of the key's
-hash, a shard holding at most SHARD_KEYS listed keys (about 0.5 MB), so whatever is in a worker's memory has a proven
-bound; beyond HELD_SHARDS shards the keys (not the pages) are dealt by shard first.  Keys are told apart by 128 bits of hash.
+hash, so many that a shard holds about SHARD_KEYS listed keys, and as many of the universe's keys that level 1 takes falsely, at most (about 0.5 MB each).
+So whatever is in a worker's memory has a bound that follows from the counts of both; beyond HELD_SHARDS shards the keys (not the pages) are dealt by shard first.  Keys are told apart by 128 bits of hash.
 
 Null url, or one without ://, has an empty host and path, which is a key like any other.  Repeated rows are all judged; an
-empty table gives no rows.  Columns besides the id and the url are not read.
+empty table gives no rows.  A very long url is only hashed.  The list is any table of hosts and paths.  Columns besides the id and the url are not read.
 """
 
 from __future__ import annotations
@@ -176,11 +176,10 @@ def listed_in(root: str, levels: int, shard: int, h: np.ndarray, g: np.ndarray)
     return out
 
 
-def keyed(pages: DataFrame, key: str, url: str, shards: int) -> DataFrame:
+def hashed(pages: DataFrame, key: str, url: str) -> DataFrame:
     host, path = host_path(F.col(url))
     both = pages.select(F.col(key), host.alias("host"), path.alias("path"))
-    hashed = both.withColumns({"h": F.xxhash64(F.lit(1), "host", "path"), "g": F.xxhash64("path", F.lit(2), "host")})
-    return hashed.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
+    return both.withColumns({"h": F.xxhash64(F.lit(1), "host", "path"), "g": F.xxhash64("path", F.lit(2), "host")})
 
 
 def repeated(pages: DataFrame, url: str = "url", least: int = 2) -> DataFrame:
@@ -194,10 +193,11 @@ def judge(pages: DataFrame, listed: DataFrame, key: str = "page_id", url: str =
     spark = pages.sparkSession
     bound_batches(spark)
     marks, a = stage(listed.select("host", "path").distinct().select(F.xxhash64(F.lit(1), "host", "path").alias("h"), F.xxhash64("path", F.lit(2), "host").alias("g"), F.lit(True).alias("listed")), "listed")
-    shards = max(1, -(-marks.count() // SHARD_KEYS))
-    keys = keyed(pages, key, url, shards)
-    own = keys.select("h", "g").distinct()
+    own, c = stage(hashed(pages, key, url).select("h", "g").distinct(), "universe-keys")
+    shards = max(1, -(-marks.count() // SHARD_KEYS), -(-int(own.count() * FIRST) // SHARD_KEYS))
+    keys = hashed(pages, key, url).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
     universe, b = stage(own.join(marks, ["h", "g"], "full").select("h", "g", F.pmod("h", F.lit(shards)).cast("int").alias("shard"), F.coalesce("listed", F.lit(False)).alias("listed")), "universe")
+    drop(spark, c)
     root = new_path(spark, "cascade-filters")
     levels = build(universe, root)
     drop(spark, a, b)

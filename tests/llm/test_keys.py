@@ -35,8 +35,13 @@ def test_place(spark, sf, tmp_path):
     odd = spark.createDataFrame([("", 1), (None, 2), ("x" * 99999, 3), ("k", 4), ("k", 5)], "k string, shard int")
     rows = sharding.place(odd, "k").collect()
     assert rows[0].shard == rows[1].shard and rows[3].shard == rows[4].shard and sharding.place(odd.limit(0), "k").collect() == []
-    sharding.write(odd, f"{tmp_path}/s", "k")
-    assert spark.read.parquet(f"{tmp_path}/s").count() == 5
+    assert sharding.write(odd.withColumnRenamed("shard", "_shard"), f"{tmp_path}/s", "k") == "_shard_"
+    back = spark.read.parquet(f"{tmp_path}/s")
+    assert sorted(back.columns) == ["_shard", "_shard_", "k"] and sorted(r._shard for r in back.collect()) == [1, 2, 3, 4, 5]
+    assert sharding.place(odd, "shard").columns == ["shard", "slot", "shard_"]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    assert sorted(con.sql(sharding.SQL).select("doc_id, slot, shard").fetchall()) == sorted(map(tuple, got))
 
 
 URLS = ["http://A.Example.NET/en/x?q#f", "https://example.com/de/a", "https://myexample.com/de/a", "ftp://org/fr/", "org/fr/", None, "", "x://", "x://h", "x://h?p=/a", "x://h#/", "HTTP://Ä.org/fr/é", "a://b://c/d", "x://net", "x://net/", "x://dup/p?1", "y://dup/p#2", "x://dup/p", "x://dup/P"]
@@ -74,6 +79,10 @@ def test_url_cases(spark, monkeypatch):
         monkeypatch.setattr(urlfilter, "SHARD_KEYS", size)
         monkeypatch.setattr(urlfilter, "HELD_SHARDS", 2)
         assert sorted(map(tuple, urlfilter.judge(frame, urlfilter.repeated(frame)).collect()), key=str) == verdicts(odd + more)
+    few = spark.createDataFrame([(f"h{i}.com", "/p") for i in range(10)], "host string, path string")
+    monkeypatch.setattr(urlfilter, "SHARD_KEYS", 2)  # 10 listed keys, and a universe whose false positives need more shards
+    got = {r.host: r.verdict for r in urlfilter.judge(frame, few).where("rule is null").collect()}
+    assert all((v == "block") == (h in {f"h{i}.com" for i in range(10)}) for h, v in got.items())
     none = urlfilter.repeated(frame.limit(0))
     assert urlfilter.judge(frame.limit(0), none).collect() == []
     assert {r.verdict for r in urlfilter.judge(frame, none).where("rule is null").collect()} == {"allow"}
