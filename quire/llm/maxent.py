@@ -14,6 +14,7 @@ Frequent words, classes and weights have a fixed size and are broadcast.  Counts
 table, and the scores of tail tokens are completed by a join on the word's hash (a tail word is below the TOP-th in
 frequency, so no key of that join is hot).
 
+A very long text is coded whole, with memory in proportion to itself, and scored in batches.
 Null text is empty: it scores its end token.  Repeated rows are each learnt and scored; a null id counts as the text ''
 for the split.  Without training documents all tokens are unknown and scores are those of smoothing alone.  Columns besides the id and the
 text are not read.
@@ -150,11 +151,21 @@ def tail_groups(counts: DataFrame, ids, ends: dict[bytes, int]) -> DataFrame:
     return map_batches(counts, fn, "h long, n long, g int")
 
 
+def least_of_top(counts: DataFrame) -> int:
+    """A count that at least TOP words reach, and few others: with it tasks don't each send TOP words to be ranked."""
+    left, least = TOP, 1
+    for r in counts.groupBy(F.floor(F.log2("n") * 16).alias("band")).agg(F.count("*").alias("c"), F.min("n").alias("n")).orderBy(F.desc("band")).collect():
+        left, least = left - r.c, r.n
+        if left <= 0:
+            return least
+    return 1
+
+
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame, str]:
     """The vocabulary of a staged (w, n) table, and the staged tail (h, n, g)."""
     spark = counts.sparkSession
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
-    top = [(bytes(r.w), r.n) for r in counts.orderBy(F.desc("n"), "w").limit(TOP).collect()]
+    top = [(bytes(r.w), r.n) for r in counts.where(F.col("n") >= least_of_top(counts)).orderBy(F.desc("n"), "w").limit(TOP).collect()]
     ids = {w: i for i, (w, _) in enumerate(top)}
     n = np.array([c for _, c in top], np.float64)
     vectors = spelling([w for w, _ in top])

@@ -53,3 +53,43 @@ def test_sums_to_one(spark):
     sums = np.bincount(v.classes[: len(v.ids)], 10**v.within, v.n_classes)
     assert np.allclose(sums[sums > 0], 1)
     assert np.allclose(maxent.softmax(maxent.logits(maxent.start_weights(v), maxent.features(np.arange(3), 5))).sum(1), 1)
+
+
+def test_score_by_brute_force(spark, monkeypatch):
+    """Every token's probability from the trained weights, feature by feature, in plain Python."""
+    monkeypatch.setattr(maxent, "TOP", 12)
+    learnt = {}
+    train = maxent.train
+
+    def kept(docs, key, text, v, shared):
+        learnt["v"], learnt["w"] = v, train(docs, key, text, v, shared)
+        return learnt["w"]
+
+    monkeypatch.setattr(maxent, "train", kept)
+    rows = [(i, f"the cat w{i % 5} sat on the mat by x{i} and " * (1 + i % 3)) for i in range(60)] + [(99, None), (None, "the dog")]
+    got = {r.doc_id: r.score for r in maxent.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    v, w = learnt["v"], learnt["w"].astype(float)
+    toks = {i: [*(t or "").lower().split(), ""] for i, t in rows}
+    seen = Counter(x for i in toks if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1 for x in toks[i])
+    place = {x.decode(): n for x, n in v.ids.items()}
+    group = lambda x: v.endings.get(x.encode()[-2:], 0)
+    mass, tail_n, tail_v = Counter(), Counter(), Counter()
+    for x, n in seen.items():
+        if x in place:
+            mass[int(v.classes[place[x]])] += n
+        else:
+            tail_n[group(x)] += n
+            tail_v[group(x)] += 1
+    big = (1 << 64) - 1
+    bucket = lambda x, k: (((x & big) * 0x9E3779B97F4A7C15 & big) >> 40) % maxent.BUCKETS + k * maxent.BUCKETS
+    for i, words in toks.items():
+        codes = [place.get(x, len(place) + group(x)) for x in words]
+        total = 0.0
+        for t, x in enumerate(words):
+            a, b, c = (codes[t - d] if t >= d else len(place) + maxent.GROUPS for d in (1, 2, 3))
+            rows_of = [bucket(a, 0), bucket(b + 1_000_003, 1), bucket(a * 2_654_435_761 + b * 40_503 + 7, 2), bucket(c + 5_000_011, 3)]
+            z = w[-1] + sum(w[r] for r in rows_of)
+            own = int(v.classes[codes[t]])
+            total += (z[own] - z.max() - math.log(np.exp(z - z.max()).sum())) / math.log(10)
+            total += math.log10(seen[x] / mass[own]) if x in place else math.log10((seen[x] + 0.5) / (tail_n[group(x)] + 0.5 * (tail_v[group(x)] + 1)))
+        assert got[i] == pytest.approx(total, rel=1e-4), i
