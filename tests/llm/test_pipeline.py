@@ -4,10 +4,11 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quire.llm import decontam, pii, quality
+from quire.llm import quality
 from quire.llm.common import stage
-from tests.llm.test_pii import plain_terms
-from tests.llm.test_simhash import groups, plain
+from tests.llm.test_pii import all_spans, masked
+from tests.llm.test_similar import kept
+from tests.llm.test_text_ops import brute
 
 
 def test_stages(spark, sf):
@@ -22,17 +23,12 @@ def test_stages(spark, sf):
         if name == "quality":
             want = [r for r, v in zip(state, quality.verdicts([r[1].encode() for r in state], quality.Bands()), strict=True) if v[6]]
         elif name == "near_dedup":
-            least = {c for _, _, c in groups([(r[0], plain(r[1])) for r in state])}
+            least = set(kept([r[:2] for r in state]))
             want = [r for r in state if r[0] in least]
         elif name == "decontamination":
-            want = [r for r in state if not decontam.brute(r[1], items)[2]]
+            want = [r for r in state if not brute(r[1], items)[2]]
         else:
-            pairs = plain_terms([r[1] for r in state], pii.LEAST, pii.DISCLOSURE)
-            want = []
-            for r in state:
-                found = pii.base_spans(r[1])
-                spans = [{"kind": pii.KINDS[k], "start": a, "end": z} for a, k, z, _ in found] + [{"kind": "term", "start": c["start"], "end": c["end"]} for c in pii.contexts(r[1], found) if (c["entity"], c["term"]) in pairs]
-                want.append((r[0], pii.replace(r[1], spans), *r[2:]))
+            want = [(r[0], masked(r[1], [x[:3] for x in found] + terms), *r[2:]) for r, (found, terms) in zip(state, all_spans([r[1] for r in state]), strict=True)]
         assert got == want, name
         assert 0 < len(got) <= len(state)
         state = got

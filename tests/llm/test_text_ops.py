@@ -1,12 +1,15 @@
 """Operators 2, 3 and 6 against the library or brute force."""
 
 import hashlib
+import json
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -89,7 +92,7 @@ def test_cache_turns_over():
     path = public_tokenizers.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
     many = [x + f" w{i} {i}ab, Été{i % 7}." for i, x in enumerate(ODD * 20)]
-    got = [[int(i) for i in ids.split()] for ids, _, _ in wordbpe.WordBPE(path, cache=5).encode_all(many)]
+    got = [[int(i) for i in ids.split()] for ids, _ in wordbpe.WordBPE(path, cache=5).encode_all(many)]
     assert got == [t.encode(x, add_special_tokens=False).ids for x in many]
 
 
@@ -120,17 +123,74 @@ def test_quality(spark, sf, documents, odd):
 def test_bands_reject_incompressible():
     bands = quality.Bands()
     rnd = random.Random(3)
-    words = " ".join(rnd.randbytes(12).hex() for _ in range(200)).encode()
-    assert quality.verdicts([words], bands)[0][6]  # hex still halves
+    words = " ".join(rnd.randbytes(12).hex() for _ in range(150)).encode()
+    assert quality.verdicts([words], bands)[0][6]  # hex still halves, and a text shorter than a chunk is judged as a whole alone
     raw = " ".join("".join(chr(rnd.randrange(0x3400, 0x9FFF)) for _ in range(6)) for _ in range(2000)).encode()
     v = quality.verdicts([raw], bands)[0]
     assert not v[5] and not v[6] and v[7] < 1.4
 
 
+def item_words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+
+
+def brute(text, items):
+    """Operator 6's contract by sliding every window over the text."""
+    w = item_words(text)
+    mark, found = set(), set()
+    for item, t in items:
+        x = item_words(t)
+        for p in [x[i : i + 8] for i in range(len(x) - 7)] or ([x] if x else []):
+            for i in range(len(w) - len(p) + 1):
+                if w[i] == p[0] and w[i : i + len(p)] == p:
+                    mark.update(range(i, i + len(p)))
+                    found.add(item)
+    return len(w), len(mark), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), len(found) >= 2
+
+
+def test_kept(spark, sf, documents):
+    """The verdicts by compressing with the limits as they are stated."""
+    z, bands = zstandard.ZstdCompressor(level=3), quality.Bands()
+    want = {}
+    for i, t in documents:
+        b, ok = t.encode(), not counts(t)[5]
+        if ok:
+            low, high = [x[1:] for x in bands.whole if len(b) < x[0]][0]
+            ok = low <= len(b) / len(z.compress(b)) <= high
+        if ok and len(b) > 4096:
+            pieces = [b[a : a + 4096] for a in range(0, len(b), 4096)]
+            pieces[-1] = b[-4096:]
+            ok = sum(not 1.88 <= 4096 / len(z.compress(p)) <= 2.85 for p in pieces) <= 0.3 * len(pieces)
+        want[i] = ok
+    assert {r.doc_id: r.kept for r in quality.query(spark, sf).collect()} == want
+    z = zstandard.ZstdCompressor(level=3)
+    for size, chunks in ((0, 0), (1, 0), (2048, 0), (4096, 0), (4097, 2), (8192, 2), (8193, 3), (9000, 3)):
+        assert quality.ratios(b"x" * size, bands, z)[1:] == (chunks, chunks)
+
+
+def test_very_long_text(spark):
+    rnd = random.Random(4)
+    text = " ".join("".join(rnd.choices("abcdefghiklmnoprstuvw", k=rnd.randrange(2, 9))) for _ in range(400_000))
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, text[-200:])], "item_id long, text string")
+    assert quality.judge(frame).first().n_words == 400_000
+    assert decontam.search(frame, bench).first()["items"] == ["5"] and decontam.clean(frame, bench, least_items=1).count() == 0
+
+
+def test_other_tokenizer_is_refused(tmp_path):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["normalizer"] = None
+    (tmp_path / "x.json").write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError):
+        wordbpe.WordBPE(str(tmp_path / "x.json"))
+
+
 def test_decontamination(spark, sf, documents, odd):
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     got = {r[0]: tuple(r)[1:] for r in decontam.query(spark, sf).collect()}
-    assert got == {i: decontam.brute(t, items) for i, t in documents}
+    assert got == {i: brute(t, items) for i, t in documents}
     assert any(v[1] for v in got.values())
 
 
@@ -149,11 +209,13 @@ def test_decontamination_cases(spark, monkeypatch):
     docs = [(1, "A B C D E F G H I J K"), (2, "tie tie tie"), (3, None), (4, ""), (5, "THE end"), (6, "z a b c d e f g h z a b c d e f g h"), (7, "a " * 20), (8, "ñ tie ñ"), (9, "x y"), (9, "x y")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     frame = spark.createDataFrame([(*d, "c") for d in docs], "doc_id long, text string, items string")
-    want = sorted((i, *decontam.brute(t, [(str(a), b) for a, b in items if a is not None])[:3]) for i, t in docs)
+    want = sorted((i, *brute(t, [(str(a), b) for a, b in items if a is not None])[:3]) for i, t in docs)
     for block in (1, 200_000):
         monkeypatch.setattr(decontam, "BLOCK", block)
         got = decontam.search(frame, bench).select("doc_id", "n_words", F.expr("aggregate(spans, 0L, (a, s) -> a + s.end - s.start)"), F.size("items").cast("long"))
         assert sorted(map(tuple, got.collect())) == want
-    assert decontam.clean(frame, bench).columns == frame.columns
+        for least in (1, 2):
+            clean = decontam.clean(frame.withColumnsRenamed({"items": "n_words"}), bench, least_items=least)
+            assert clean.columns == ["doc_id", "text", "n_words"] and sorted(r.doc_id for r in clean.collect()) == sorted(r[0] for r in want if r[3] < least)
     assert decontam.search(frame, bench.limit(0)).where("size(items) > 0").count() == 0
     assert decontam.search(frame.limit(0), bench).count() == 0
