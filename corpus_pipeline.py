@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a frame that is written as Parquet and read again as the next one's docs.
 All but the last return the columns of docs as they were.  Nulls: a null text fails the quality rules and goes with stage one; a null id
-stays; repeated rows are one group of copies, of which one row stays.  An empty table passes through as an empty one.
+stays; repeated rows and ties are one group of copies, of which one row stays, that of smallest id, then of first place.  A very long text is held whole by
+the task that reads it.  An empty table passes through as an empty one.  What a stage read is dropped once the next is written.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import decontam, pii, quality, similar, wordbpe
-from quire.llm.common import stage, table
+from quire.llm.common import drop, stage, table
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +20,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (Jaccard of 5-word shingles >= 0.8) stays, that of smallest id."""
+    """Operator 9, with 5-word shingles and its links verified and completed to a Jaccard similarity >= 0.8: one document of each group stays, that of smallest id."""
     return similar.one_each(docs)
 
 
@@ -45,7 +46,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids) after all stages over documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, fn in STAGES:
-        docs, _ = stage(fn(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, at = stage(fn(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            drop(spark, before)
+        before = at
     return docs
