@@ -374,10 +374,11 @@ def tables(spark, sf_dir) -> dict[str, DataFrame]:
     none, text = F.lit("[]"), F.col("text")
     normal = F.struct(text.alias("plain_text"), text.alias("markdown"), none.alias("blocks"), none.alias("key_values"), none.alias("tables"), F.array(F.lit("z")).alias("quality_flags"), F.lit(0.9).alias("confidence"))
     gold = export.gold_pages(pages.drop("text"), pages.join(good, "page_id").select("page_id", normal.alias("normalized")), F.lit("m"))
-    al = alignment(spark, sf_dir)
+    gold = gold.persist()  # each of these is asked several times; what a lost executor held is computed again
+    al = alignment(spark, sf_dir).persist()
     sc = rendered(spark, sf_dir)
     translations = export.gold_translations(al, sc)
-    rows = export.all_examples(export.page_examples(gold), export.translation_examples(translations))
+    rows = export.all_examples(export.page_examples(gold), export.translation_examples(translations)).persist()
     names = ["page_id", "corpus", "split", "split_group_id", "quality_flags"]
     return {
         "sources": pages.select(F.lit(True).alias("valid_source"), "page_count", "corpus", F.lit(None).cast("string").alias("language_variant")).unionByName(sc.select(F.lit(True).alias("valid_source"), "page_count", "corpus", F.lit("HIN").alias("language_variant"))),
