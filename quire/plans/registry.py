@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -120,8 +121,8 @@ def sides(spark, sf_dir) -> DataFrame:
     return T.gated(d, F.lit("EN")).withColumn("text_sha256", T.hash_of(F.col("text")))
 
 
-def pairs(spark, sf_dir) -> DataFrame:
-    d = sides(spark, sf_dir).groupBy(F.col("conv_id").alias("pair_key"), F.col("side").alias("language_variant"), "document_id").agg(F.count("*").alias("n"))
+def pairs(spark, sf_dir, texts: DataFrame | None = None) -> DataFrame:
+    d = (texts or sides(spark, sf_dir)).groupBy(F.col("conv_id").alias("pair_key"), F.col("side").alias("language_variant"), "document_id").agg(F.count("*").alias("n"))
     extra = F.when((F.col("pair_key") % 7 == 0) & (F.col("language_variant") == "HIN"), 1).otherwise(0)
     return align.pair_up(d.withColumns({"page_count": F.col("n") + extra, "source_path": F.col("document_id"), "seq": F.lit(1)}))
 
@@ -130,14 +131,17 @@ def relations(spark, sf_dir) -> DataFrame:
     return align.verification(pairs(spark, sf_dir), sides(spark, sf_dir))
 
 
-def rendered(spark, sf_dir) -> DataFrame:
-    d = sides(spark, sf_dir).where("side = 'HIN' AND NOT (conv_id % 5 = 0 AND page = 1)")
+def rendered(spark, sf_dir, texts: DataFrame | None = None) -> DataFrame:
+    d = (texts or sides(spark, sf_dir)).where("side = 'HIN' AND NOT (conv_id % 5 = 0 AND page = 1)")
     return d.select("document_id", F.col("page").alias("page_index"), F.concat("document_id", F.lit(":p"), F.col("page").cast("string")).alias("page_id"), F.lit("r.jpg").alias("render_path"), F.lit(1).alias("page_count"), F.lit("train").alias("split"), F.col("pair_id").alias("split_group_id"), F.array(F.lit("devanagari")).alias("quality_flags"), F.lit("sc").alias("corpus"))
 
 
+def alignment_of(verified: DataFrame, paired: DataFrame, pages: DataFrame, texts: DataFrame) -> DataFrame:
+    return align.aligned(verified, paired, pages, texts.where("side = 'EN'").select("document_id", F.col("page").alias("page_index"), "text_sha256", "text"))
+
+
 def alignment(spark, sf_dir) -> DataFrame:
-    texts = sides(spark, sf_dir).where("side = 'EN'").select("document_id", F.col("page").alias("page_index"), "text_sha256", "text")
-    return align.aligned(relations(spark, sf_dir), pairs(spark, sf_dir), rendered(spark, sf_dir), texts)
+    return alignment_of(relations(spark, sf_dir), pairs(spark, sf_dir), rendered(spark, sf_dir), sides(spark, sf_dir))
 
 
 def long(*names: str) -> list:
@@ -365,27 +369,70 @@ def ft_export(spark, sf_dir):
     return accepted(spark, sf_dir).join(d, "doc_id").select("example_id", "split", "language", "target")
 
 
-def tables(spark, sf_dir) -> dict[str, DataFrame]:
-    """The tables of a finished run: documents of good label are accepted pages, the rest are pages without gold; judgments come from the conversations."""
-    d = read(spark, sf_dir, "documents").join(splits(spark, sf_dir), "doc_id")
-    page = F.concat(F.lit("fir:"), F.col("doc_id").cast("string"))
-    pages = d.select(page.alias("page_id"), F.lit("fir").alias("corpus"), "split", "split_group_id", F.array(F.col("lang")).alias("quality_flags"), F.lit(True).alias("rendered"), page.alias("document_id"), F.lit(1).alias("page_index"), F.lit(1).alias("page_count"), F.lit("r.jpg").alias("render_path"), F.lit("fir").alias("doc_type"), F.col("lang").alias("language_hint"), "text")
-    good = read(spark, sf_dir, "labels").where("quality = 1").select(F.concat(F.lit("fir:"), F.col("doc_id").cast("string")).alias("page_id")).distinct()
-    none, text = F.lit("[]"), F.col("text")
-    normal = F.struct(text.alias("plain_text"), text.alias("markdown"), none.alias("blocks"), none.alias("key_values"), none.alias("tables"), F.array(F.lit("z")).alias("quality_flags"), F.lit(0.9).alias("confidence"))
-    gold = export.gold_pages(pages.drop("text"), pages.join(good, "page_id").select("page_id", normal.alias("normalized")), F.lit("m"))
-    gold = gold.persist()  # each of these is asked several times; what a lost executor held is computed again
-    al = alignment(spark, sf_dir).persist()
-    sc = rendered(spark, sf_dir)
-    translations = export.gold_translations(al, sc)
-    rows = export.all_examples(export.page_examples(gold), export.translation_examples(translations)).persist()
-    names = ["page_id", "corpus", "split", "split_group_id", "quality_flags"]
-    return {
-        "sources": pages.select(F.lit(True).alias("valid_source"), "page_count", "corpus", F.lit(None).cast("string").alias("language_variant")).unionByName(sc.select(F.lit(True).alias("valid_source"), "page_count", "corpus", F.lit("HIN").alias("language_variant"))),
-        "pages": pages.select(*names, "rendered").unionByName(sc.select(*names, F.lit(True).alias("rendered"))), "gold": gold, "translations": translations, "examples": rows, "calibration": export.calibration(rows),
-        "runs": pages.select("page_id", F.lit("m").alias("model"), F.lit(1).alias("attempts"), F.lit("accepted").alias("status")), "failures": pages.limit(0).select("page_id", F.lit("m").alias("model"), F.lit(1).alias("attempts"), F.lit("x").alias("status")),
-        "pairs": pairs(spark, sf_dir), "alignment": al, "verification": relations(spark, sf_dir), "texts": sides(spark, sf_dir), "template_errors": export.template_errors(rows),
-    }
+class Run:
+    """The tables of a finished run, each built when first asked: documents of good label are accepted pages, the rest are pages without gold; judgments
+    come from the conversations.  What several tables or checks read is persisted: memory and disk, and what a lost executor held is computed again.
+    """
+
+    def __init__(self, spark, sf_dir):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def own(self) -> DataFrame:
+        """Pages of documents, without their texts."""
+        d = read(self.spark, self.sf_dir, "documents").select("doc_id", "lang").join(splits(self.spark, self.sf_dir), "doc_id")
+        page = F.concat(F.lit("fir:"), F.col("doc_id").cast("string"))
+        return d.select("doc_id", page.alias("page_id"), F.lit("fir").alias("corpus"), "split", "split_group_id", F.array(F.col("lang")).alias("quality_flags"), F.lit(True).alias("rendered"), page.alias("document_id"), F.lit(1).alias("page_index"), F.lit(1).alias("page_count"), F.lit("r.jpg").alias("render_path"), F.lit("fir").alias("doc_type"), F.col("lang").alias("language_hint")).persist()
+
+    @cached_property
+    def gold(self) -> DataFrame:
+        good = read(self.spark, self.sf_dir, "labels").where("quality = 1").select("doc_id")
+        none, text = F.lit("[]"), F.col("text")
+        normal = F.struct(text.alias("plain_text"), text.alias("markdown"), none.alias("blocks"), none.alias("key_values"), none.alias("tables"), F.array(F.lit("z")).alias("quality_flags"), F.lit(0.9).alias("confidence"))
+        payloads = read(self.spark, self.sf_dir, "documents").select("doc_id", "text").join(good, "doc_id", "left_semi").select(F.concat(F.lit("fir:"), F.col("doc_id").cast("string")).alias("page_id"), normal.alias("normalized"))
+        return export.gold_pages(self.own.drop("doc_id"), payloads, F.lit("m")).persist()
+
+    @cached_property
+    def texts(self) -> DataFrame:
+        return sides(self.spark, self.sf_dir).persist()
+
+    @cached_property
+    def paired(self) -> DataFrame:
+        return pairs(self.spark, self.sf_dir, self.texts).persist()
+
+    @cached_property
+    def verification(self) -> DataFrame:
+        return align.verification(self.paired, self.texts).persist()
+
+    @cached_property
+    def judged(self) -> DataFrame:
+        return rendered(self.spark, self.sf_dir, self.texts)
+
+    @cached_property
+    def alignment(self) -> DataFrame:
+        return alignment_of(self.verification, self.paired, self.judged, self.texts).persist()
+
+    @cached_property
+    def translations(self) -> DataFrame:
+        return export.gold_translations(self.alignment, self.judged)
+
+    @cached_property
+    def examples(self) -> DataFrame:
+        return export.all_examples(export.page_examples(self.gold), export.translation_examples(self.translations)).persist()
+
+    @cached_property
+    def pages(self) -> DataFrame:
+        names = ["page_id", "corpus", "split", "split_group_id", "quality_flags"]
+        return self.own.select(*names, "rendered").unionByName(self.judged.select(*names, F.lit(True).alias("rendered")))
+
+    def audited(self, rows: DataFrame) -> dict[str, DataFrame]:
+        """What an audit of given examples reads."""
+        source = lambda d, v: d.select(F.lit(True).alias("valid_source"), "page_count", "corpus", F.lit(v).cast("string").alias("language_variant"))
+        status = lambda d, v: d.select("page_id", F.lit("m").alias("model"), F.lit(1).alias("attempts"), F.lit(v).alias("status"))
+        return {
+            "sources": source(self.own, None).unionByName(source(self.judged, "HIN")), "pages": self.pages, "gold": self.gold, "examples": rows, "calibration": export.calibration(rows), "runs": status(self.own, "accepted"),
+            "failures": status(self.own.limit(0), "x"), "pairs": self.paired, "alignment": self.alignment, "verification": self.verification, "texts": self.texts, "template_errors": export.template_errors(rows),
+        }
 
 
 RUN = f"""{ACCEPTED}, {FLOW}, s2 AS (SELECT conv_id, page FROM t WHERE side = 'HIN' AND NOT (conv_id % 5 = 0 AND page = 1)),
@@ -394,20 +441,20 @@ RUN = f"""{ACCEPTED}, {FLOW}, s2 AS (SELECT conv_id, page FROM t WHERE side = 'H
 
 @query("gold_pages", f"{ACCEPTED} SELECT 'ft:ocr_full_json:gold:fir_gita:fir:' || a.doc_id AS example_id, a.split, array_to_string(list_sort([d.lang, 'z']), ',') AS flags, d.text AS plain_text, 'fir:' || a.doc_id || ':b0001' AS block_id, 'r.jpg' AS image FROM a JOIN documents d USING (doc_id)")
 def gold_pages(spark, sf_dir):
-    d = export.page_examples(tables(spark, sf_dir)["gold"])
+    d = export.page_examples(Run(spark, sf_dir).gold)
     t = F.from_json("target", "plain_text string, quality_flags array<string>, blocks string")
     return d.select("example_id", F.col("split.name").alias("split"), listed(t["quality_flags"]).alias("flags"), t["plain_text"].alias("plain_text"), F.get_json_object(t["blocks"], "$[0].block_id").alias("block_id"), export.image_path(F.col("messages")).alias("image"))
 
 
 @query("calibration_256", f"{RUN}, e AS (SELECT 'ft:ocr_full_json:gold:fir_gita:fir:' || doc_id AS example_id FROM a WHERE split = 'train' UNION ALL SELECT 'ft:ocr_translate_en_json:gold:sc_hi_en:' || alignment_id FROM av WHERE verified) SELECT 'cal:' || example_id AS calibration_id, 'r.jpg' AS render_path FROM e ORDER BY sha256('2026-06-06:v1' || example_id), example_id LIMIT 256")
 def calibration_256(spark, sf_dir):
-    return tables(spark, sf_dir)["calibration"].select("calibration_id", "render_path")
+    return export.calibration(Run(spark, sf_dir).examples).select("calibration_id", "render_path")
 
 
 @query("eval_report", f"{RUN} SELECT d + h AS page_count, g AS fir_gita_gold_count, x AS sc_gold_count, g + x AS ft_count, g AS ocr_full_json, x AS ocr_translate_en_json, least(256, g_train + x)::BIGINT AS calibration_count, 0::BIGINT AS crop_level_rows, 0::BIGINT AS sc_targets_from_gemini, CASE WHEN g + x > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS json_validity_rate, '' AS split_leakage_failures, (SELECT string_agg(f || ':' || c, ',' ORDER BY f) FROM (SELECT lang AS f, count(*) AS c FROM documents GROUP BY 1 UNION ALL SELECT 'devanagari', count(*) FROM s2)) AS quality_bucket_counts FROM n")
 def eval_report(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    d = audit.evaluation(t["pages"], t["gold"], t["translations"], t["examples"], t["calibration"])
+    r = Run(spark, sf_dir)
+    d = audit.evaluation(r.pages, r.gold, r.translations, r.examples, export.calibration(r.examples))
     return d.withColumns({"split_leakage_failures": listed("split_leakage_failures"), "quality_bucket_counts": F.array_join(F.transform(F.map_entries("quality_bucket_counts"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",")})
 
 
@@ -421,14 +468,14 @@ def audit_sql(checks: dict[str, str], sc: bool) -> str:
 
 @query("completion_audit", audit_sql(audit.CHECKS, True))
 def completion_audit(spark, sf_dir):
-    return audit.completion(tables(spark, sf_dir), "m")
+    r = Run(spark, sf_dir)
+    return audit.completion(r.audited(r.examples), "m")
 
 
 @query("own_completion_audit", audit_sql(audit.OWN_CHECKS, False))
 def own_completion_audit(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    rows = export.page_examples(t["gold"])
-    return audit.own_completion(t | {"examples": rows, "calibration": export.calibration(rows), "template_errors": export.template_errors(rows)}, "m")
+    r = Run(spark, sf_dir)
+    return audit.own_completion(r.audited(export.page_examples(r.gold).persist()), "m")
 
 
 @query("json_salvage", """SELECT doc_id, CASE WHEN text IS NOT NULL THEN '{"confidence": 0.9, "plain_text": ' || to_json(regexp_replace(text, '["\\\\]', '', 'g'))::VARCHAR || '}' END AS payload FROM documents""")
