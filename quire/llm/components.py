@@ -22,20 +22,24 @@ def star(edges: DataFrame, large: bool) -> tuple[DataFrame, list[str]]:
     return out, [b]
 
 
+def stars(edges: DataFrame) -> bool:
+    """Whether every u has one edge and no v has any, so that each v is its nodes' root."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up + down > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> tuple[DataFrame, str]:
-    """(node, root) of each node of the undirected edges (u, v), root being the least node reachable; and its path.
+    """(node, root) of each node but the roots of the undirected edges (u, v), root being the least node reachable; and its path.
 
-    Steps repeat until the edges are stars, a logarithmic number of times; every step is written to the shared folder.
+    Steps repeat until the edges are stars, a logarithmic number of times; every step is written to the shared folder.  Edges that are
+    stars already take none.  Repeated edges, loops and an empty table are fine; null nodes must not occur.
     """
     spark = edges.sparkSession
     now, at = stage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc-edges")
-    paths, before = [at], None
-    while True:
-        mark = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if mark[0] == 0 or mark == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")), paths[0]
-        before = mark
+    paths = [at]
+    while not stars(now):
         for large in (True, False):
             now, more = star(now, large)
             drop(spark, *paths)
             paths = more
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")), paths[0]

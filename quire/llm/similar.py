@@ -334,7 +334,7 @@ def grouped(scan: Scan) -> tuple[DataFrame, str]:
     drop(spark, *b, e)
     forget(spark)
     more, g = scan.verified(rest)
-    whole, h = components(edges.union(more))
+    whole, h = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     drop(spark, c, d, *f, g)
     return whole, h
 
