@@ -43,31 +43,35 @@ def evaluation(pages: DataFrame, page_gold: DataFrame, translations: DataFrame,
 
 def summed(t: dict[str, DataFrame], model: str) -> DataFrame:
     """What the checks ask of the tables: sources, pages, gold, runs, failures, pairs, alignment, verification, texts, examples, calibration, template_errors."""
-    tracked = F.col("corpus").isin("fir", "gita")
+    quoted = model.replace("\\", "\\\\").replace("'", "\\'")
+    tracked, mine = "corpus IN ('fir', 'gita')", f"teacher_model = '{quoted}'"
     own = t["pages"].where(tracked)
     attempted = t["runs"].where(F.col("model") == model).groupBy("page_id").agg(F.max("attempts").alias("a")).where("a > 0").select("page_id")
-    accepted = t["gold"].where(F.col("valid") & (F.col("teacher_model") == model))
     exported = t["examples"].where("task = 'ocr_translate_en_json'").select(F.explode("source_page_ids").alias("hindi_page_id")).distinct()
-    al = lambda f: F.get_json_object("target", f"$.alignment.{f}") == "true"
-    sc = F.col("task") == "ocr_translate_en_json"
-    on = F.coalesce(al("alignment_verified"), F.lit(False)) & ~F.coalesce(al("gemini_used_for_translation"), F.lit(False))
-    flowed = (F.col("content_relation") == "same_page_likely") & F.col("content_verification_id").isNotNull() & (F.col("alignment_method") == VERIFIED)
-    train = (F.col("split.name") == "train") & ~F.coalesce("is_crop", F.lit(False))
-    n = lambda c, name: F.count_if(F.coalesce(c, F.lit(False))).alias(name)
+    al = lambda f: f"get_json_object(target, '$.alignment.{f}') = 'true'"
+    sc, translated = "task = 'ocr_translate_en_json'", al("gemini_used_for_translation")
+    on = f"coalesce({al('alignment_verified')}, false) AND NOT coalesce({translated}, false)"
+    flowed = f"content_relation = 'same_page_likely' AND content_verification_id IS NOT NULL AND alignment_method = '{VERIFIED}'"
+    train = "split.name = 'train' AND NOT coalesce(is_crop, false)"
+    n = lambda c, name: F.expr(f"count_if(coalesce({c}, false)) AS {name}")
+    rows = lambda name: F.expr(f"count(*) AS {name}")
     return one_row(
-        t["sources"].agg(n(F.col("valid_source"), "valid_sources"), F.coalesce(F.sum(F.when(F.col("valid_source"), F.col("page_count"))), F.lit(0)).alias("pages_expected"), n(F.col("valid_source") & (F.col("corpus") == "sc") & (F.col("language_variant") == "HIN"), "hindi_sources")),
-        t["pages"].agg(F.count("*").alias("pages"), n(~F.col("rendered"), "renders_missing"), n(tracked, "own_pages")),
-        own.join(attempted, "page_id", "left_anti").agg(F.count("*").alias("unattempted")),
-        t["gold"].agg(n(F.col("valid") & (F.col("teacher_model") != model), "other_gold"), n(F.col("teacher_model") == model, "gold"), n((F.col("teacher_model") == model) & ~F.col("valid"), "invalid_gold")),
-        accepted.agg(F.count_distinct("source_page_id").alias("accepted")),
-        t["failures"].where(F.col("model") == model).agg(n(F.col("attempts").isNull() | F.col("status").isNull(), "failures_bare")),
-        t["pairs"].agg(n(F.col("hindi_source_path").isNotNull() & F.col("english_source_path").isNull(), "unpaired")),
-        t["alignment"].agg(n(F.col("alignment_verified"), "verified"), n(F.col("alignment_verified") & ~flowed, "verified_otherwise")),
-        t["alignment"].join(exported, "hindi_page_id", "left_semi").agg(n(~F.col("alignment_verified"), "exported_unverified")),
-        t["verification"].agg(F.count("*").alias("verifications")), t["texts"].agg(F.count("*").alias("texts")),
-        t["examples"].agg(F.count("*").alias("examples"), n(sc, "sc_examples"), n(~sc, "own_examples"), n(sc & on, "sc_on"), n(sc & al("native_english_target"), "sc_native"), n(sc & al("gemini_used_for_translation"), "sc_translated"), n(crop(), "crops"), n(train, "train_examples")),
-        leaking(t["examples"].select("split.group_id", "split.name"), "group_id", "name").agg(F.count("*").alias("leaks")),
-        t["calibration"].agg(F.count("*").alias("calibrated"), n((F.col("split") != "train") | F.col("is_crop"), "miscalibrated")), t["template_errors"].agg(F.count("*").alias("template_errors")),
+        t["sources"].agg(n("valid_source", "valid_sources"), F.expr("coalesce(sum(CASE WHEN valid_source THEN page_count END), 0) AS pages_expected"), n("valid_source AND corpus = 'sc' AND language_variant = 'HIN'", "hindi_sources")),
+        t["pages"].agg(rows("pages"), n("NOT rendered", "renders_missing"), n(tracked, "own_pages")),
+        own.join(attempted, "page_id", "left_anti").agg(rows("unattempted")),
+        t["gold"].agg(
+            n(f"valid AND NOT {mine}", "other_gold"), n(mine, "gold"), n(f"{mine} AND NOT valid", "invalid_gold"), F.expr(f"count(DISTINCT CASE WHEN valid AND {mine} THEN source_page_id END) AS accepted")),
+        t["failures"].where(F.col("model") == model).agg(n("attempts IS NULL OR status IS NULL", "failures_bare")),
+        t["pairs"].agg(n("hindi_source_path IS NOT NULL AND english_source_path IS NULL", "unpaired")),
+        t["alignment"].agg(n("alignment_verified", "verified"), n(f"alignment_verified AND NOT ({flowed})", "verified_otherwise")),
+        t["alignment"].join(exported, "hindi_page_id", "left_semi").agg(n("NOT alignment_verified", "exported_unverified")),
+        t["verification"].agg(rows("verifications")), t["texts"].agg(rows("texts")),
+        t["examples"].agg(
+            rows("examples"), n(sc, "sc_examples"), n(f"NOT {sc}", "own_examples"), n(f"{sc} AND {on}", "sc_on"), n(f"{sc} AND {al('native_english_target')}", "sc_native"), n(f"{sc} AND {translated}", "sc_translated"),
+            F.count_if(F.coalesce(crop(), F.lit(False))).alias("crops"), n(train, "train_examples"),
+        ),
+        leaking(t["examples"].select("split.group_id", "split.name"), "group_id", "name").agg(rows("leaks")),
+        t["calibration"].agg(rows("calibrated"), n("split <> 'train' OR is_crop", "miscalibrated")), t["template_errors"].agg(rows("template_errors")),
     )
 
 
@@ -118,4 +122,5 @@ def own_completion(t: dict[str, DataFrame], model: str) -> DataFrame:
 
 
 def checked(row: DataFrame, checks: dict[str, str]) -> DataFrame:
-    return row.select(*(F.expr(x).alias(k) for k, x in checks.items())).withColumn("all_complete", reduce(lambda a, b: a & b, (F.col(k) for k in checks)))
+    whole = " AND ".join(f"({x})" for x in checks.values())
+    return row.selectExpr(*(f"{x} AS {k}" for k, x in checks.items()), f"{whole} AS all_complete")
