@@ -99,20 +99,22 @@ class Scan:
         return out, path
 
     def marks(self) -> tuple[DataFrame, str]:
-        """(kind, key, sid, fp): 0 the fingerprint, 1 the two least hashes, 2 (without a sid) the hashes that are counted."""
+        """(kind, key, sid, fp): 0 the fingerprint, 1 the two least hashes, 2 (without a sid) the counted hashes of a batch, with their number as fp."""
 
         def fn(kept):
-            kind, key, sid, fp = [], [], [], []
+            kind, key, sid, fp, counted = [], [], [], [], []
             for i, h in kept:
                 if len(h):
-                    k = math.ceil(COUNTED * len(h))
                     low, own = h[:2].view(np.int64), np.array([simhash.majority(h)], np.uint64).view(np.int64)
-                    key += [own, low, h[:k].view(np.int64)]
-                    kind.append(np.repeat(np.array([0, 1, 2], np.int8), (1, len(low), k)))
-                    sid.append(np.repeat((i, -1), (1 + len(low), k)))
-                    fp.append(np.repeat((own[0], 0), (1 + len(low), k)))
-            key, kind, sid = flat(key), flat(kind).astype(np.int8), flat(sid)
-            return pa.RecordBatch.from_arrays([pa.array(kind, pa.int8()), pa.array(key, pa.int64()), pa.array(sid, pa.int64(), mask=sid < 0), pa.array(flat(fp), pa.int64(), mask=sid < 0)], ["kind", "key", "sid", "fp"])
+                    key += [own, low]
+                    kind.append(np.repeat(np.array([0, 1], np.int8), (1, len(low))))
+                    sid.append(np.repeat(i, 1 + len(low)))
+                    fp.append(np.repeat(own, 1 + len(low)))
+                    counted.append(h[: math.ceil(COUNTED * len(h))].view(np.int64))
+            often, n = np.unique(flat(counted), return_counts=True)
+            kind = np.concatenate([flat(kind), np.full(len(often), 2)]).astype(np.int8)
+            sid = np.concatenate([flat(sid), np.full(len(often), -1)])
+            return pa.RecordBatch.from_arrays([pa.array(kind, pa.int8()), pa.array(np.concatenate([flat(key), often]), pa.int64()), pa.array(sid, pa.int64(), mask=sid < 0), pa.array(np.concatenate([flat(fp), n]), pa.int64())], ["kind", "key", "sid", "fp"])
 
         return self.shingled(self.places.withColumnRenamed("sid", "value"), "similar-marks", fn, "kind byte, key long, sid long, fp long")
 
@@ -186,7 +188,8 @@ def perhaps(x: bytes, y: bytes, similarity: float) -> bool:
 
 def frequent_keys(marks: DataFrame) -> np.ndarray:
     """The most frequent counted hashes, ascending: those above the least count of at least OFTEN that leaves at most FREQUENT."""
-    counts, a = stage(marks.where("kind = 2").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN), "similar-often")
+    # Nearly all keys differ: sums by task would only spill, and a batch has summed up its own, so a hot key sends a row for each batch.
+    counts, a = stage(marks.where("kind = 2").select("key", "fp").repartition(F.col("key")).groupBy("key").agg(F.sum("fp").alias("n")).where(F.col("n") > OFTEN), "similar-often")
     left, least = FREQUENT, OFTEN
     for r in counts.groupBy(F.floor(F.log2("n") * 8).alias("band")).agg(F.count("*").alias("c"), F.min("n").alias("n")).orderBy(F.desc("band")).collect():
         left -= r.c
