@@ -7,9 +7,12 @@ Fingerprints alone can't tell such pairs: at a similarity of 0.8 some ten of 64
  1. SimHash fingerprints of the sets meet by the deletion-variant signatures of simhash.links(), and sets of equal least hashes meet the
     least set among them.  These pairs, a few for each set, are verified on the whole sets and grouped: copies are never expanded into pairs.
  2. A prefix filter finds every pair that may be linked and lies in different groups: with the n shingles of each set in one order, two
-    linked sets meet in one of the first n - ceil(SIMILARITY * n) + 1.  Sizes, and how often and where a pair meets, bound what it can
-    share and rule out most others; the rest are verified.  The most frequent shingles come last in the order, so passages that many texts share file nothing but such texts.
-The classes are those of comparing all pairs.  Meetings of over BLOCK sets are cut into blocks that are compared two by two.
+    linked sets meet in one of the first n - ceil(SIMILARITY * n) + 1.  The most frequent shingles come last in the order, so passages that many texts share file nothing but such texts.
+    First each set that meets one of another group is verified against the centre of the meeting, the set with the earliest place, and groups grow by that.
+    Then sizes, places, and the parities of the hashes in PARITIES bits, of which two sets differ in no more than they have shingles apart, rule out pairs
+    where they meet; those that are left, and may be linked by how often they meet, are verified.
+The classes are those of comparing all pairs.  Meetings of over BLOCK sets are cut into blocks that are compared two by two.  Rows are made
+of pairs that pass these bounds alone, but a meeting's parities are compared in memory pair by pair, which is the square of its size.
 
 Texts of equal words are one set from the start; null and empty texts are alike.  A link needs no id: of a class the smallest id stays,
 ties and rows without an id by place.  A very long text needs memory in proportion to itself.  Repeated rows are one class.  An empty
@@ -38,6 +41,9 @@ COUNTED, OFTEN, FREQUENT = 0.35, 6, 1 << 20
 NEAR = 16
 #: Sets of one meeting that are compared at once, and pairs in a batch that is handed on.
 BLOCK, PAIRS = 1024, 50_000
+#: Bits of parities, in longs.
+PARITIES = 1024
+BITS = [f"b{i}" for i in range(PARITIES // 64)]
 
 
 def shingles(b: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -72,6 +78,17 @@ def possible(n, at, m, other, similarity: float):
     return (n >= similarity * m - 1e-9) & (np.minimum(n - at, m - other) >= least_shared(n, m, similarity))
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """PARITIES bits: whether an odd number of the hashes falls to each.  Two sets differ in at most as many bits as there are elements of one alone."""
+    odd = np.bincount((h & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def near(n, m, a: np.ndarray, b: np.ndarray, similarity: float):
+    """Whether sets of n and m with these parities, a column each, can be linked."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).sum(0, dtype=np.int64) <= n + m - 2 * least_shared(n, m, similarity)
+
+
 def flat(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, np.int64)
 
@@ -119,11 +136,11 @@ class Scan:
         return self.shingled(self.places.withColumnRenamed("sid", "value"), "similar-marks", fn, "kind byte, key long, sid long, fp long")
 
     def filed(self, roots: DataFrame, frequent: np.ndarray) -> tuple[DataFrame, str]:
-        """(key, n, sid, at, root, hot): each set under the hashes of its prefix, with the place in the order and its group."""
+        """(key, n, sid, at, root): each set under the hashes of its prefix, with the place in the order and its group."""
         shared, similarity = self.spark.sparkContext.broadcast(frequent), self.similarity
 
         def fn(kept):
-            often, cols = shared.value, ([], [], [], [], [], [])
+            often, cols = shared.value, ([], [], [], [], [])
             for v, h in kept:
                 if not len(h):
                     continue
@@ -131,13 +148,23 @@ class Scan:
                 late = often[k] == h if len(often) else np.zeros(len(h), bool)
                 first = prefix(len(h), similarity)
                 head = np.argsort(late, kind="stable")[:first]
-                for c, x in zip(cols, (h[head].view(np.int64), np.full(first, len(h)), np.full(first, v["sid"]), np.arange(first), np.full(first, v["root"]), late[head]), strict=True):
+                for c, x in zip(cols, (h[head].view(np.int64), np.full(first, len(h)), np.full(first, v["sid"]), np.arange(first), np.full(first, v["root"])), strict=True):
                     c.append(x)
-            return pa.RecordBatch.from_arrays([pa.array(flat(c), t) for c, t in zip(cols[:5], (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)] + [pa.array(flat(cols[5]).astype(bool))], ["key", "n", "sid", "at", "root", "hot"])
+            return pa.RecordBatch.from_arrays([pa.array(flat(c), t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["key", "n", "sid", "at", "root"])
 
         value = F.struct("sid", F.coalesce("root", "sid").alias("root")).alias("value")
         values = self.places.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("file", "row", value)
-        return self.shingled(values, "similar-filed", fn, "key long, n int, sid long, at int, root long, hot boolean")
+        return self.shingled(values, "similar-filed", fn, "key long, n int, sid long, at int, root long")
+
+    def parities(self, wanted: DataFrame) -> tuple[DataFrame, str]:
+        """(sid, *BITS) of the wanted sets (sid)."""
+        values = self.places.join(wanted, "sid").select("file", "row", F.col("sid").alias("value"))
+
+        def fn(kept):
+            bits = np.array([parities(h) for _, h in kept], np.int64).reshape(len(kept), len(BITS))
+            return pa.RecordBatch.from_arrays([pa.array([i for i, _ in kept], pa.int64()), *(pa.array(np.ascontiguousarray(c), pa.int64()) for c in bits.T)], ["sid", *BITS])
+
+        return self.shingled(values, "similar-bits", fn, longs(["sid", *BITS]))
 
     def compared(self, pairs: DataFrame, encode, judge) -> tuple[DataFrame, str]:
         """The staged pairs (u, v) for which judge(codes of u, of v) holds; each set travels as encode(its hashes)."""
@@ -240,26 +267,44 @@ def groups_of(batches, keys: int, cap: int):
         yield held, not over and held.shape[1] <= cap
 
 
-def pairs_of(n, sid, at, root, similarity: float, side=None):
+def pairs_of(n, sid, at, root, bits, similarity: float, side=None):
     """(u, v, sizes, places) arrays, u > v, of the possible pairs, of different groups (and sides, if given), of sets in order of size."""
     if (root == root[0]).all():
         return
     for i in range(len(n) - 1):
-        j = np.arange(i + 1, np.searchsorted(n, n[i] / similarity + 1e-6, "right"))
-        ok = (root[j] != root[i]) & possible(n[i], at[i], n[j], at[j], similarity)
+        j = partners(i, n, at, root, similarity)
         if side is not None:
-            ok &= side[j] != side[i]
-        if len(j := j[ok]):
+            j = j[side[j] != side[i]]
+        if len(j):
+            j = j[near(n[i], n[j], bits[:, i : i + 1], bits[:, j], similarity)]
+        if len(j):
             i_first = sid[i] > sid[j]
             yield tuple(x for c in (sid, n, at) for x in (np.where(i_first, c[i], c[j]), np.where(i_first, c[j], c[i])))
 
 
+def partners(i: int, n, at, root, similarity: float) -> np.ndarray:
+    """The later sets of a meeting, in order of size, that set i may be linked to and that are of another group."""
+    j = np.arange(i + 1, np.searchsorted(n, n[i] / similarity + 1e-6, "right"))
+    return j[(root[j] != root[i]) & possible(n[i], at[i], n[j], at[j], similarity)]
+
+
+def partnered(n, at, root, similarity: float) -> np.ndarray:
+    """Which sets of a meeting, in order of size, have one they may be linked to."""
+    out = np.zeros(len(n), bool)
+    if (root != root[0]).any():
+        for i in range(len(n) - 1):
+            if len(j := partners(i, n, at, root, similarity)):
+                out[i] = True
+                out[j] = True
+    return out
+
+
 def batched(found, names: list[str]):
-    """Record batches of about PAIRS rows of a stream of arrays; None is a column of nulls."""
+    """Record batches of about PAIRS rows of a stream of arrays."""
     held, size = [], 0
     for cols in found:
         held.append(cols)
-        size += max(len(c) for c in cols if c is not None)
+        size += len(cols[0])
         if size > PAIRS:
             yield joined(held, names)
             held, size = [], 0
@@ -268,62 +313,76 @@ def batched(found, names: list[str]):
 
 
 def joined(held: list, names: list[str]) -> pa.RecordBatch:
-    rows = [max(len(c) for c in cols if c is not None) for cols in held]
-    return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.nulls(k, pa.int64()) if cols[i] is None else pa.array(cols[i], pa.int64()) for cols, k in zip(held, rows, strict=True)]) for i in range(len(names))], names)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*held, strict=True)], names)
 
 
-PAIR, POSTING = ["u", "v", "nu", "nv", "au", "av"], ["key", "n", "sid", "at", "root"]
+def longs(names: list[str]) -> str:
+    return ", ".join(f"{c} long" for c in names)
 
 
-def rest_pairs(postings: DataFrame, similarity: float) -> tuple[DataFrame, list[str]]:
-    """Every pair (u, v) of different groups that may be linked, from staged filed().
+PAIR, POSTING = ["u", "v", "nu", "nv", "au", "av"], ["key", "n", "sid", "at", "root"]
 
-    A pair that has met c times, last at these places, shares c shingles and at most what follows.  Meetings that are dropped as too
-    late follow all that are kept, so they are counted in what follows.
-    """
-    spark = postings.sparkSession
 
-    def cold(batches):
+def meetings(postings: DataFrame, similarity: float) -> tuple[DataFrame, str]:
+    """Of staged filed(), the rows of sets that meet one of another group to which they may be linked, and all rows of meetings of over BLOCK sets."""
+
+    def meet(batches):
         def found():
             for g, whole in groups_of(batches, 1, BLOCK):
-                if whole:
-                    for pair in pairs_of(*g[1:], similarity):
-                        yield *pair, *[None] * len(POSTING)
-                else:
-                    yield *[None] * len(PAIR), *g
+                own = g[:, partnered(g[1], g[3], g[4], similarity)] if whole else g
+                if own.shape[1]:
+                    yield tuple(own)
 
-        return batched(found(), PAIR + POSTING)
+        return batched(found(), POSTING)
 
-    longs = lambda names: ", ".join(f"{c} long" for c in names)
-    with wide_batches(spark):
-        met, a = stage(postings.where("NOT hot").select(*POSTING).repartition(F.col("key")).sortWithinPartitions("key", "n", "sid").mapInArrow(cold, longs(PAIR + POSTING)), "similar-met")
-    crowd, b = stage(postings.where("hot").select(*POSTING).union(met.where("key IS NOT NULL").select(*POSTING)), "similar-crowd")
-    mixed, c = stage(crowd.groupBy("key").agg(F.count("*").alias("c"), F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")), "similar-mixed")
+    with wide_batches(postings.sparkSession):
+        return stage(postings.select(*POSTING).repartition(F.col("key")).sortWithinPartitions("key", "n", "sid").mapInArrow(meet, longs(POSTING)), "similar-met")
+
+
+def central_pairs(met: DataFrame, similarity: float) -> tuple[DataFrame, str]:
+    """Pairs (u, v), u > v, of each set and the centre of its meeting, that of least place, where they may be linked: one for each row at most."""
+    centres, a = stage(met.groupBy("key").agg(F.min(F.struct("at", "sid", "n", "root")).alias("x")).select("key", *(F.col(f"x.{c}").alias(f"c_{c}") for c in ("at", "sid", "n", "root"))), "similar-centres")
+    able = f"least(n, c_n) >= {similarity!r}D * greatest(n, c_n) - 1e-9D AND least(n - at, c_n - c_at) >= ceil({similarity / (1 + similarity)!r}D * (n + c_n) - 1e-9D)"
+    pairs = met.join(centres, "key").where("root <> c_root").where(able).select(F.greatest("sid", "c_sid").alias("u"), F.least("sid", "c_sid").alias("v"))
+    out, b = stage(pairs.distinct(), "similar-central")
+    drop(met.sparkSession, a)
+    return out, b
+
+
+def rest_pairs(met: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, str]:
+    """Every pair (u, v) of different groups that may be linked, from meetings() and its sets (sid, root, *BITS), all staged.
 
-    def hot(batches):
+    A pair that has met c times, last at these places, shares c shingles and at most what follows.  Meetings that are dropped as too
+    late follow all that are kept, so they are counted in what follows.
+    """
+    spark = met.sparkSession
+    rooted, a = stage(met.select("key", "n", "sid", "at").join(sets.select("sid", "root"), "sid"), "similar-rooted")
+    mixed, b = stage(rooted.groupBy("key").agg(F.count("*").alias("c"), F.min("root").alias("a"), F.max("root").alias("z")).where("a < z").select("key", F.ceil(F.col("c") / BLOCK).alias("blocks")), "similar-mixed")
+    apart, c = stage(rooted.join(mixed, "key"), "similar-apart")
+
+    def across(batches):
         def found():
             for g, _ in groups_of(batches, 3, 1 << 40):
-                lo, hi, n, sid, at, root, own = g[1], g[2], *g[3:]
-                yield from pairs_of(n, sid, at, root, similarity, own if lo[0] != hi[0] else None)
+                lo, hi, n, sid, at, root, own = g[1], g[2], *g[3:8]
+                yield from pairs_of(n, sid, at, root, g[8:], similarity, own if lo[0] != hi[0] else None)
 
         return batched(found(), PAIR)
 
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).alias("own")
-    cut = crowd.join(mixed, "key").select(*POSTING, own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cut = cut.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "n", "sid", "at", "root", "own")
+    cut = apart.join(sets.drop("root"), "sid").select(*POSTING, own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), *BITS)
+    cut = cut.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "n", "sid", "at", "root", "own", *BITS)
     with wide_batches(spark):
-        more, d = stage(cut.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "sid").mapInArrow(hot, longs(PAIR)), "similar-across")
-    all_met = met.where("u IS NOT NULL").select(*PAIR).union(more)
+        all_met, d = stage(cut.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "n", "sid").mapInArrow(across, longs(PAIR)), "similar-across")
     bound = F.expr(f"c + least(nu - 1 - au, nv - 1 - av) >= ceil({similarity / (1 + similarity)!r}D * (nu + nv) - 1e-9D)")
     pairs = all_met.groupBy("u", "v", "nu", "nv").agg(F.count("*").alias("c"), F.max("au").alias("au"), F.max("av").alias("av")).where(bound).select("u", "v")
     out, e = stage(pairs, "similar-rest")
     drop(spark, a, b, c, d)
-    return out, [e]
+    return out, e
 
 
 def grouped(scan: Scan) -> tuple[DataFrame, str]:
     """(node, root) of the sets that have a link; and its path."""
-    spark = scan.spark
+    spark, similarity = scan.spark, scan.similarity
     marks, a = scan.marks()
     often = frequent_keys(marks)
     first, b = first_pairs(marks)
@@ -332,14 +391,28 @@ def grouped(scan: Scan) -> tuple[DataFrame, str]:
     edges, c = scan.verified(first)
     forget(spark)
     roots, d = components(edges)
-    postings, e = scan.filed(roots, often)
-    rest, f = rest_pairs(postings, scan.similarity)
-    drop(spark, *b, e)
+    drop(spark, *b, c)
+    postings, a = scan.filed(roots, often)
+    met, b = meetings(postings, similarity)
+    drop(spark, a)
+    forget(spark)
+    roots, d = joined_roots(scan, roots, d, *central_pairs(met, similarity))
+    wanted, a = stage(met.select("sid").distinct(), "similar-wanted")
+    bits, c = scan.parities(wanted)
+    sets, e = stage(bits.join(roots.withColumnRenamed("node", "sid"), "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), *BITS), "similar-rooted-bits")
+    drop(spark, a, c)
+    pairs, a = rest_pairs(met, sets, similarity)
+    drop(spark, b, e)
     forget(spark)
-    more, g = scan.verified(rest)
-    whole, h = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
-    drop(spark, c, d, *f, g)
-    return whole, h
+    return joined_roots(scan, roots, d, pairs, a)
+
+
+def joined_roots(scan: Scan, roots: DataFrame, roots_at: str, pairs: DataFrame, pairs_at: str) -> tuple[DataFrame, str]:
+    """The roots once the linked ones of staged pairs are added; what was read is dropped."""
+    more, a = scan.verified(pairs)
+    out, b = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
+    drop(scan.spark, roots_at, pairs_at, a)
+    return out, b
 
 
 def one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
