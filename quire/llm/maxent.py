@@ -230,12 +230,24 @@ def features(code: np.ndarray, n_codes: int) -> np.ndarray:
     return ((h >> np.uint64(40)) & np.uint64(BUCKETS - 1)).astype(np.int64) + np.arange(0, KINDS * BUCKETS, BUCKETS)[:, None]
 
 
+ROOMS: dict[str, np.ndarray] = {}
+
+
+def room(name: str, shape: tuple[int, int], kind) -> np.ndarray:
+    """An array to be written over, kept from one minibatch to the next: fresh megabytes cost more to map than to fill."""
+    size, held = shape[0] * shape[1], ROOMS.get(name)
+    if held is None or held.size < size or held.dtype != kind:
+        held = ROOMS[name] = np.empty(size, kind)
+    return held[:size].reshape(shape)
+
+
 def logits(w: np.ndarray, f: np.ndarray) -> np.ndarray:
     """Class scores; the last row of w is the bias."""
     z = w.take(f[0], 0)
     z += w[-1]
+    own = room("logits", z.shape, w.dtype)
     for k in range(1, KINDS):
-        z += w.take(f[k], 0)
+        z += w.take(f[k], 0, out=own, mode="clip")
     return z
 
 
@@ -250,15 +262,17 @@ def update(w: np.ndarray, squares: np.ndarray, f: np.ndarray, y: np.ndarray) ->
     """One adaptive gradient step on a minibatch, touching the rows of its active features only."""
     p = softmax(logits(w, f))
     p[np.arange(len(y)), y] -= 1
-    n = p.shape[1]
     w[-1] -= RATE * (g := p.mean(0)) / np.sqrt(squares[-1] + (g * g).sum() + 1e-8)
     squares[-1] += (g * g).sum()
+    wide, mine = room("wide", p.shape, np.float64), room("mine", p.shape, np.float64)
+    wide[:] = p
     for k in range(KINDS):
         own = f[k] - k * BUCKETS
-        active = np.flatnonzero(np.bincount(own, minlength=BUCKETS))
-        cells = ((own * n)[:, None] + np.arange(n)).ravel()  # the table flattened: one pass sums all rows at once
-        g = (np.bincount(cells, p.ravel(), BUCKETS * n).reshape(BUCKETS, n)[active] / len(y)).astype(np.float32)
-        rows = active + k * BUCKETS
+        order = np.argsort(own.astype(np.uint16), kind="stable")  # a radix sort; BUCKETS fit 16 bits
+        own = own[order]
+        first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        g = (np.add.reduceat(wide.take(order, 0, out=mine, mode="clip"), first, axis=0) / len(y)).astype(np.float32)
+        rows = own[first] + k * BUCKETS
         squares[rows] += (g * g).mean(1)
         w[rows] -= RATE * 0.5 * g / np.sqrt(squares[rows] + 1e-8)[:, None]
 
